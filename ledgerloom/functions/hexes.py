@@ -7,63 +7,88 @@ from ..columns import col
 
 _LIMB = 1_000_000_000
 _STEP = 16 ** 6
+_BASE = 10 ** 18     # one output limb
+_PIECE = 15          # hex digits per input piece: 60 bits, below one limb
 
 
 def _digits(c: str | Column) -> Column:
-    """Bare hex digits, or null where the text is not a hex quantity."""
-    c = col(c)
-    return F.when(c.rlike("^(0[xX])?[0-9a-fA-F]+$"),
-                  F.regexp_replace(c, "^0[xX]", ""))
+    """Hex digits without 0x and leading zeros, behind one zero."""
+    return F.concat(F.lit("0"), F.ltrim(col(c), F.lit("0xX")))
 
 
-def _wide(h: Column) -> Column:
-    """Decimal text of hex digits of any length.
+def _is_hex(c: str | Column, h: Column) -> Column:
+    """Something besides the prefix, and hex digits only."""
+    return F.unhex(h).isNotNull() & ~F.lower(col(c)).isin("", "0x")
 
-    Six hex digits at a time are folded into little-endian limbs of nine
-    decimal digits; every intermediate stays below 2^63.
-    """
-    padded = F.lpad(h, (F.ceil(F.length(h) / 6) * 6).cast("int"), "0")
-    pieces = F.transform(F.regexp_extract_all(padded, F.lit("[0-9a-fA-F]{6}"), F.lit(0)),
-                         lambda p: F.conv(p, 16, 10).cast("bigint"))
-    limbs = (F.ceil(F.length(h) * 1.2042 / 9) + 1).cast("int")
-    zero = F.array_repeat(F.lit(0).cast("bigint"), limbs)
-
-    def push(acc: Column, piece: Column) -> Column:
-        def carry(state: Column, limb: Column) -> Column:
-            total = limb * F.lit(_STEP) + state["carry"]
-            return F.struct(F.call_function("div", total, F.lit(_LIMB)).alias("carry"),
-                            F.concat(state["out"], F.array(total % _LIMB)).alias("out"))
-        start = F.struct(piece.alias("carry"),
-                         F.array().cast("array<bigint>").alias("out"))
-        return F.aggregate(acc, start, carry, lambda s: s["out"])
-
-    text = F.array_join(
-        F.transform(F.reverse(F.aggregate(pieces, zero, push)),
-                    lambda limb: F.lpad(limb.cast("string"), 9, "0")), "")
-    return F.regexp_replace(text, "^0+(?=.)", "")
 
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-def hex_to_dec(c: str | Column) -> Column:
-    """Hex quantity to its exact decimal text; null for null or non-hex text.
 
-    Quantities up to 60 and 120 bits take arithmetic paths; only wider ones
-    (token ids, hashes) are folded limb by limb.
+def _up_to_30(h: Column) -> Column:
+    """Decimal text of at most 30 hex digits, as two 60-bit halves."""
+    wide = F.lpad(F.substring(h, 2, 2 * _PIECE), 2 * _PIECE, "0")
+    half = lambda at: F.conv(F.substring(wide, at, _PIECE), 16, 10).cast("decimal(19,0)")
+    return (half(1) * F.lit(16 ** _PIECE).cast("decimal(19,0)") + half(1 + _PIECE)).cast("decimal(38,0)").cast("string")
+
+
+def _wide_sql() -> str:
+    """Lambda text: hex digits to decimal text, for more than 30 digits.
+
+    Up to 64 digits are five pieces of 60 bits. Each piece times the
+    base-10^18 digits of its power of two is summed per limb, then carries
+    move up once; nothing exceeds 38 decimal digits. Longer text is folded six
+    digits at a time into limbs of nine decimal digits.
+
+    The text is built once: as a parsed lambda it costs one call per use.
     """
-    h = F.regexp_replace(_digits(c), "^0+(?=.)", "")
+    n = -(-64 // _PIECE)
+    pieces = ", ".join(
+        f"cast(conv(substring(lpad(substring(h, 2, 64), {n * _PIECE}, '0'), {1 + _PIECE * (n - 1 - i)}, {_PIECE}), 16, 10)"
+        f" as decimal(19,0))" for i in range(n))
+    sums = []
+    for j in range(n):
+        terms = [f"cast(p[{i}] * cast({w} as decimal(18,0)) as decimal(38,0))" for i in range(n)
+                 if (w := (1 << (4 * _PIECE * i)) // _BASE ** j % _BASE)]
+        total = terms[0] if terms else "cast(0 as decimal(38,0))"
+        for t in terms[1:]:
+            total = f"cast({total} + {t} as decimal(38,0))"
+        sums.append(total)
+    base = f"cast({_BASE} as decimal(19,0))"
+    up = "cast(s + a.up as decimal(38,0))"
+    fixed = (f"transform(array(array({pieces})), p -> aggregate(array({', '.join(sums)}), "
+             f"named_struct('up', cast(0 as decimal(38,0)), 'text', ''), (a, s) -> named_struct("
+             f"'up', cast({up} div {base} as decimal(38,0)), "
+             f"'text', concat(lpad(cast({up} % {base} as string), 18, '0'), a.text)), a -> a.text))[0]")
+    total = f"(limb * {_STEP}L + st.carry)"
+    fold = (f"aggregate(acc, named_struct('carry', piece, 'out', cast(array() as array<bigint>)), (st, limb) -> "
+            f"named_struct('carry', {total} div {_LIMB}L, 'out', concat(st.out, array({total} % {_LIMB}L))), st -> st.out)")
+    any_width = (
+        "array_join(transform(reverse(aggregate("
+        "transform(regexp_extract_all(lpad(h, cast(ceil(length(h) / 6) * 6 as int), '0'), '.{6}', 0),"
+        " d -> cast(conv(d, 16, 10) as bigint)), "
+        "array_repeat(cast(0 as bigint), cast(ceil(length(h) * 1.2042 / 9) as int) + 1), "
+        f"(acc, piece) -> {fold})), limb -> lpad(cast(limb as string), 9, '0')), '')")
+    return f"h -> ltrim('0', case when length(h) <= 65 then {fixed} else {any_width} end)"
+
+
+_WIDE = _wide_sql()
+
+
+def hex_to_dec(c: str | Column) -> Column:
+    """Hex quantity to its exact decimal text; null for null or non-hex text."""
+    h = _digits(c)
     n = F.length(h)
-    part = lambda s: F.conv(s, 16, 10).cast("decimal(20,0)")
-    mid = (part(F.substring(F.lpad(h, 30, "0"), 1, 15))
-           * F.lit(16 ** 15).cast("decimal(19,0)")
-           + part(F.substring(F.lpad(h, 30, "0"), 16, 15)))
-    return (F.when(n <= 15, F.conv(h, 16, 10))
-             .when(n <= 30, mid.cast("decimal(38,0)").cast("string"))
-             .when(n > 30, _wide(h)))
+    return F.when(_is_hex(c, h),
+                  F.when(n <= 16, F.conv(h, 16, 10)).when(n <= 31, _up_to_30(h))
+                   .otherwise(F.get(F.call_function("transform", F.array(h), F.expr(_WIDE)), F.lit(0))))
 
 
 def hex_to_long(c: str | Column) -> Column:
     """Hex quantity to bigint; null when it does not fit."""
-    h = F.regexp_replace(_digits(c), "^0+(?=.)", "")
-    return F.when(F.length(h) <= 16, F.conv(h, 16, 10).try_cast("bigint"))
+    h = _digits(c)
+    return F.when(_is_hex(c, h) & (F.length(h) <= 17), F.conv(h, 16, 10).try_cast("bigint"))
 
 
 def int_to_hex(c: str | Column, upper: bool = False) -> Column:
@@ -73,7 +98,11 @@ def int_to_hex(c: str | Column, upper: bool = False) -> Column:
 
 def words64(c: str | Column) -> Column:
     """Event data without its 0x, cut into whole 64-digit words."""
-    return F.regexp_extract_all(F.substr(col(c), F.lit(3)), F.lit(".{64}"), F.lit(0))
+    c = col(c)
+    n = F.call_function("div", F.length(c) - 2, F.lit(64)).cast("int")
+    return F.when(n < 1, F.array().cast("array<string>")).otherwise(
+        F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1),
+                    lambda i: F.substr(c, i * 64 + 3, F.lit(64))))
 
 
 def word_address(c: str | Column, start: int = 25) -> Column:
@@ -83,7 +112,7 @@ def word_address(c: str | Column, start: int = 25) -> Column:
 
 def abi_array(words: str | Column, head: int = 0) -> Column:
     """Elements of the dynamic array whose offset is in word ``head``."""
-    w = col(words)
-    start = (hex_to_long(F.get(w, F.lit(head))) / 32).cast("int")
-    length = hex_to_long(F.get(w, start)).cast("int")
-    return F.slice(w, start + 2, length)
+    def cut(w: Column) -> Column:
+        start = (hex_to_long(F.get(w, F.lit(head))) / 32).cast("int")
+        return _bind(start, lambda s: F.slice(w, s + 2, hex_to_long(F.get(w, s)).cast("int")))
+    return _bind(col(words), cut)

@@ -15,13 +15,13 @@ def decimal_adjust(c: str | Column, places: int) -> Column:
     """Move the decimal point of integer text left, exactly, as text."""
     raw = col(c).cast("string")
     sign = F.when(raw.startswith("-"), F.lit("-")).otherwise("")
-    body = F.regexp_replace(raw, "^-", "")
-    body = F.lpad(body, F.greatest(F.length(body), F.lit(places + 1)), "0")
+    digits = F.ltrim(raw, F.lit("-"))
+    body = F.lpad(digits, F.greatest(F.length(digits), F.lit(places + 1)), "0")
     cut = F.length(body) - places
-    whole = F.regexp_replace(F.substr(body, F.lit(1), cut), "^0+(?=.)", "")
-    frac = F.regexp_replace(F.substr(body, cut + 1), "0+$", "")
-    return F.when(raw.rlike("^-?[0-9]+$"),
-                  F.concat(sign, whole, F.when(frac == "", "").otherwise(F.concat(F.lit("."), frac))))
+    whole = F.ltrim(F.substr(body, F.lit(1), cut - 1), F.lit("0"))
+    frac = F.rtrim(F.concat(F.lit("."), F.substr(body, cut + 1)), F.lit("0"))
+    valid = (digits != "") & (F.translate(digits, "0123456789", "") == "")
+    return F.when(valid, F.concat(sign, whole, F.substr(body, cut, F.lit(1)), F.rtrim(frac, F.lit("."))))
 
 
 def scale_down(c: str | Column, places: str | int | Column) -> Column:

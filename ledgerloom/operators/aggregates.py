@@ -72,19 +72,24 @@ def distinct(df: DataFrame, columns) -> DataFrame:
     return df.select(*names(columns)).distinct()
 
 
-def tree_success(nodes: DataFrame, keys, path: str = "trace_address", error: str = "error") -> DataFrame:
-    """Nodes with ``trace_succeeded``: no error at the node, above it or at the root."""
-    from .joins import with_ancestors
-    keys = names(keys)
-    errs = nodes.filter(F.col(error).isNotNull()).select(*keys, path, error)
-    failed = (with_ancestors(nodes.select(*keys, path), errs, keys, path, error)
-              .filter(F.col("any_error").isNotNull()).select(*keys, path).distinct()
-              .withColumn("_failed", F.lit(True)))
-    root = (errs.filter(F.col(path) == "ORIGIN").select(*keys).distinct()
-                .withColumn("_root_failed", F.lit(True)))
-    return (nodes.join(failed, [*keys, path], "left").join(root, keys, "left")
-                 .withColumn("trace_succeeded", F.col("_failed").isNull() & F.col("_root_failed").isNull())
-                 .drop("_failed", "_root_failed"))
+def tree_success(nodes: DataFrame, keys, path: str = "trace_address", error: str = "error",
+                 **kw) -> DataFrame:
+    """Nodes with ``trace_succeeded``: no error at the node, above it or at the root.
+
+    In depth-first order the subtree of an errored node is the run of paths
+    from its own up to its next sibling's. Subtrees nest or are apart, so a
+    node has failed exactly when some earlier such run ends after it: one
+    running maximum, and no join of nodes with their ancestors.
+    """
+    from .windows import running_max
+    p = path_array(path)
+    last = F.element_at("_path", -1)
+    end = F.when(F.col(path) == "ORIGIN", F.array(F.lit(2**31 - 1))).otherwise(
+        F.concat(F.slice("_path", F.lit(1), F.size("_path") - 1), F.array(last + 1)))
+    out = running_max(nodes.withColumn("_path", p), keys, ["_path"], F.when(F.col(error).isNotNull(), end), "_end",
+                      split_by=F.get("_path", F.lit(0)), **kw)
+    return (out.withColumn("trace_succeeded", ~F.coalesce(F.col("_path") < F.col("_end"), F.lit(False)))
+               .drop("_path", "_end"))
 
 
 def path_array(path) -> Column:

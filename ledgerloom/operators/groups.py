@@ -23,7 +23,7 @@ BROADCAST_BYTES = 32 << 20
 
 def plan_bytes(df: DataFrame) -> int:
     """Upper estimate of a result's size, from the optimizer's statistics."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -52,7 +52,7 @@ def hot_groups(df: DataFrame, part: list[str], max_rows: int) -> list:
 
 def with_chunks(df: DataFrame, part, split_by: Column,
                 max_rows: int | None = MAX_GROUP_ROWS) -> tuple[DataFrame, bool]:
-    """Add the piece number of each row, and say whether any group was cut.
+    """Add the piece number of each row if any group needs cutting, and say so.
 
     ``split_by`` is numeric and never decreases along the window order, so a
     piece is a run of consecutive rows. ``max_rows=None`` skips detection, for
@@ -60,10 +60,10 @@ def with_chunks(df: DataFrame, part, split_by: Column,
     """
     part = names(part)
     if max_rows is None or (max_rows >= MAX_GROUP_ROWS and plan_bytes(df) <= SMALL_BYTES):
-        return df.withColumn(CHUNK, F.lit(0)), False
+        return df, False
     hot = hot_groups(df, part, max_rows)
     if not hot:
-        return df.withColumn(CHUNK, F.lit(0)), False
+        return df, False
 
     ways = min(MAX_WAYS, max(2, -(-2 * max(r["_n"] for r in hot) // max_rows)))
     share = [i / ways for i in range(1, ways)]
@@ -71,7 +71,6 @@ def with_chunks(df: DataFrame, part, split_by: Column,
     keys = df.sparkSession.createDataFrame(
         [tuple(r[p] for p in part) for r in hot], T.StructType(fields))
     same = lambda a, b: _all(a[p].eqNullSafe(b[p]) for p in part)
-    d, k = df.alias("d"), F.broadcast(keys).alias("k")
     cuts = (df.join(F.broadcast(keys), same(df, keys), "left_semi")
               .groupBy(*part)
               .agg(F.percentile_approx(split_by.cast("double"), share, 1_000).alias("_cuts"))

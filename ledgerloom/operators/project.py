@@ -1,7 +1,9 @@
 """Row-by-row projections and filters. None of these shuffles."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import re
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .. import functions as L
 from ..columns import col, cols, names
@@ -9,16 +11,38 @@ from ..columns import col, cols, names
 ZERO_ADDRESS = "0x0000000000000000000000000000000000000000"
 
 
+def _json_schema(paths: list[list[str]]) -> T.DataType:
+    """Nested schema holding the given field paths; everything else is skipped."""
+    if [] in paths:
+        return T.StringType()
+    tree: dict[str, list] = {}
+    for head, *rest in paths:
+        tree.setdefault(head, []).append(rest)
+    if list(tree) == ["[]"]:
+        return T.ArrayType(_json_schema(tree["[]"]))
+    return T.StructType([T.StructField(k, _json_schema(v)) for k, v in tree.items()])
+
+
 def json_project(df: DataFrame, payload: str, spec: dict[str, tuple], keep=()) -> DataFrame:
-    """Typed columns from JSON paths.
+    """Typed columns from JSON paths, the payload being parsed once per row.
 
     ``spec`` maps an output name to (path,), (path, type) or (path, function).
-    Each path is read on its own, so paths nobody selects cost nothing.
+    A path to an object or array yields its JSON text. The parsed value comes
+    out of a generator, which later filters and projections are not moved
+    across: otherwise each of them would parse the payload again.
     """
-    def one(path, how="string"):
-        raw = F.get_json_object(col(payload), path)
-        return how(raw) if callable(how) else (raw if how == "string" else raw.try_cast(how))
-    return df.select(*cols(keep), *[one(*s).alias(name) for name, s in spec.items()])
+    steps = {n: re.findall(r"[^.\[\]]+|\[\d+\]", s[0].removeprefix("$")) for n, s in spec.items()}
+    schema = _json_schema([["[]" if x.startswith("[") else x for x in st] for st in steps.values()])
+
+    def value(name: str) -> Column:
+        out = F.col("_json")
+        for x in steps[name]:
+            out = F.get(out, F.lit(int(x[1:-1]))) if x.startswith("[") else out[x]
+        how = spec[name][1] if len(spec[name]) > 1 else None
+        return out if how is None else how(out) if callable(how) else out.try_cast(how)
+
+    parsed = df.select("*", F.explode(F.array(F.from_json(payload, schema))).alias("_json"))
+    return parsed.select(*cols(keep), *[value(n).alias(n) for n in spec])
 
 
 def coalesce_paths(df: DataFrame, paths: list[tuple], as_: str, type_: str = "string") -> DataFrame:
@@ -45,7 +69,8 @@ def derive_chain(df: DataFrame, steps: list[tuple[str, Column]]) -> DataFrame:
 
 def is_json_object(c) -> Column:
     """The text is one JSON object (not an array, scalar or broken text)."""
-    return F.coalesce(F.schema_of_variant(F.try_parse_json(col(c))).startswith("OBJECT"), F.lit(False))
+    c = col(c)
+    return F.ltrim(c).startswith("{") & F.json_object_keys(c).isNotNull()
 
 
 def where_json_object(df: DataFrame, c: str) -> DataFrame:

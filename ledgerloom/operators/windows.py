@@ -8,7 +8,7 @@ the state across.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..columns import col, cols, names
 from .groups import CHUNK, MAX_GROUP_ROWS, same_keys, with_chunks
@@ -98,6 +98,10 @@ def _carried(df: DataFrame, part: list[str], piece: DataFrame, carry: dict[str,
     return df.join(F.broadcast(state), on, "left").drop("_p_chunk", *["_p_" + p for p in part])
 
 
+def _parts(part: list[str], cut: bool) -> list[str]:
+    return [*part, CHUNK] if cut else part
+
+
 def _pieces(df: DataFrame, part: list[str], **summary: Column) -> DataFrame:
     """Summary per piece, for cut groups only (others have the one piece 0)."""
     every = df.groupBy(*part, CHUNK).agg(*[v.alias(k) for k, v in summary.items()])
@@ -112,7 +116,7 @@ def ordinal(df: DataFrame, part, order, as_: str = "ordinal", split_by=None,
     part, order = names(part), [order] if isinstance(order, (str, Column)) else list(order)
     df, cut = _split(df, part, order, split_by, max_rows)
     out = df.withColumn(as_, F.row_number().over(
-        Window.partitionBy(*part, CHUNK).orderBy(*cols(order))).cast("bigint"))
+        Window.partitionBy(*_parts(part, cut)).orderBy(*cols(order))).cast("bigint"))
     if cut:
         before = Window.partitionBy(*part).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
         pieces = _pieces(df, part, _n=F.count(F.lit(1)))
@@ -127,7 +131,7 @@ def running_group(df: DataFrame, part, order, marker, as_: str = "grp", split_by
     part, order = names(part), [order] if isinstance(order, (str, Column)) else list(order)
     df, cut = _split(df, part, order, split_by, max_rows)
     df = df.withColumn("_marker", col(marker).cast("bigint"))
-    here = (Window.partitionBy(*part, CHUNK).orderBy(*cols(order))
+    here = (Window.partitionBy(*_parts(part, cut)).orderBy(*cols(order))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = df.withColumn(as_, F.sum("_marker").over(here))
     if cut:
@@ -149,7 +153,7 @@ def neighbours(df: DataFrame, part, order: list[str], values, prev: str = "prev_
     """
     part, order, values = names(part), names(order), names(values)
     df, cut = _split(df, part, order, split_by, max_rows)
-    w = Window.partitionBy(*part, CHUNK).orderBy(*order)
+    w = Window.partitionBy(*_parts(part, cut)).orderBy(*order)
     back, ahead = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
     do_prev, do_next = sides in ("both", "prev"), sides in ("both", "next")
     new = {}
@@ -159,7 +163,7 @@ def neighbours(df: DataFrame, part, order: list[str], values, prev: str = "prev_
         if do_next:
             # the later side as an earlier side of the reversed order: the frame
             # then grows with the scan instead of being rebuilt for every row
-            rev = (Window.partitionBy(*part, CHUNK).orderBy(*[F.desc(o) for o in order])
+            rev = (Window.partitionBy(*_parts(part, cut)).orderBy(*[F.desc(o) for o in order])
                    .rowsBetween(Window.unboundedPreceding, -1))
             new[next_ + v] = F.last(v, ignorenulls=True).over(rev)
     out = df.withColumns(new)
@@ -210,6 +214,23 @@ def fill_both(df: DataFrame, values, part, order, defaults: dict | None = None,
     return out.drop(*["_pv_" + v for v in values], *["_nv_" + v for v in values])
 
 
+def running_max(df: DataFrame, part, order, value: Column, as_: str, split_by=None,
+                max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """Greatest value from the group's start up to each row."""
+    part, order = names(part), [order] if isinstance(order, (str, Column)) else list(order)
+    df, cut = _split(df, part, order, split_by, max_rows)
+    here = (Window.partitionBy(*_parts(part, cut)).orderBy(*cols(order))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = df.withColumn(as_, F.max(value).over(here))
+    if cut:
+        before = Window.partitionBy(*part).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        out = _carried(out, part, _pieces(df, part, _m=F.max(value)), {"_before": F.max("_m").over(before)})
+        out = out.withColumn(as_, F.greatest(as_, "_before")).drop("_before") \
+            if not isinstance(out.schema[as_].dataType, T.ArrayType) else \
+            out.withColumn(as_, F.array_max(F.array(as_, "_before"))).drop("_before")
+    return out.drop(CHUNK)
+
+
 def preorder_index(df: DataFrame, part, path: str, as_: str = "trace_index",
                    max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Depth-first position of a node: order of its integer path, from 0."""
