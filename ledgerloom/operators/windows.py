@@ -130,18 +130,18 @@ def running_group(df: DataFrame, part, order, marker, as_: str = "grp", split_by
     """Running sum of a marker: the number of the group a row falls in."""
     part, order = names(part), [order] if isinstance(order, (str, Column)) else list(order)
     df, cut = _split(df, part, order, split_by, max_rows)
-    df = df.withColumn("_marker", col(marker).cast("bigint"))
+    df = df.withColumn("_step", col(marker).cast("bigint"))
     here = (Window.partitionBy(*_parts(part, cut)).orderBy(*cols(order))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = df.withColumn(as_, F.sum("_marker").over(here))
+    out = df.withColumn(as_, F.sum("_step").over(here))
     if cut:
         before = Window.partitionBy(*part).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-        pieces = _pieces(df, part, _n=F.sum("_marker"))
+        pieces = _pieces(df, part, _n=F.sum("_step"))
         out = _carried(out, part, pieces, {"_before": F.sum("_n").over(before)})
         out = out.withColumn(as_, F.when(F.col(as_).isNull() & F.col("_before").isNull(), None)
                              .otherwise(F.coalesce(F.col(as_), F.lit(0)) + F.coalesce("_before", F.lit(0)))
                              ).drop("_before")
-    return out.drop(CHUNK, "_marker")
+    return out.drop(CHUNK, "_step")
 
 
 def neighbours(df: DataFrame, part, order: list[str], values, prev: str = "prev_", next_: str = "next_",

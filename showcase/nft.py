@@ -1 +1,211 @@
+"""Marketplace plans over events derived from the orders table."""
+from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from ledgerloom.operators.incremental import Run
+from ledgerloom.plans.nft import element as E, joepegs as J, salvor as S, seaport as Z
+from ledgerloom.plans.nft.aggregators import aggregator_list
+from ledgerloom.plans.nft.common import NATIVE, SALE_COLUMNS, WRAPPED_NATIVE
+from ledgerloom.plans.nft.complete import gold_nft_sales, sales_complete
+from ledgerloom.sources.constants import aggregator_rows
+from . import market as M
+from .base import query, table
+from .chain import BASE, BLOCK_SQL, TX_SQL
+
+RUN = Run(dt.datetime(2033, 1, 1), "run")
+CENTS = "cast(round(o_totalprice * 100) as bigint)"
+LOG = ["tx_hash", "event_index", "event_type", "seller_address", "buyer_address", "nft_address", "tokenid", "erc1155_value",
+       "currency_address", "total_price_raw", "total_fees_raw", "platform_fee_raw", "creator_fee_raw", "nft_log_id"]
+
+
+def shaped(df):
+    """Comparable columns: exact amounts as doubles, which hold them exactly."""
+    return df.select(*[F.col(c).cast("double").alias(c) if c.endswith("_raw") else F.col(c) for c in LOG])
+
+
+def adr(e):
+    return f"printf('0x%040x', {e})"
+
+
+JOEPEGS_SQL = f"""
+  with s as (select *, {TX_SQL} as tx_hash, {CENTS} as cents, o_custkey % 3 + 1 as n from orders, unnest(range(0, o_custkey % 3 + 1)) t(k)),
+  x as (select *, case when o_orderstatus = 'F' then o_custkey + k else 0 end as creator,
+               case when o_orderpriority in ('2-HIGH', '5-LOW') then 0 when o_orderstatus <> 'O' then 100 + k
+                    when k > 0 then 99 + k else 0 end as platform from s)
+  select tx_hash, 10 * k + 5 as event_index, case when k % 2 = 0 then 'sale' else 'bid_won' end as event_type,
+         {adr("case when k % 2 = 0 then o_custkey + 1 else o_custkey + 2 end")} as seller_address,
+         {adr("case when k % 2 = 0 then o_custkey + 2 else o_custkey + 1 end")} as buyer_address,
+         {adr("o_custkey + k")} as nft_address, cast(k as varchar) as tokenid,
+         case when (o_custkey + k) % 2 = 1 then '3' end as erc1155_value, '{WRAPPED_NATIVE}' as currency_address,
+         cast(cents as double) as total_price_raw, cast(platform + creator as double) as total_fees_raw,
+         cast(platform as double) as platform_fee_raw, cast(creator as double) as creator_fee_raw,
+         {adr("o_custkey + k")} || '-' || k || '-' || tx_hash || '-' || (10 * k + 5) || '-JoepegExchange' as nft_log_id,
+         {BLOCK_SQL} as block_number, o_orderdate + interval 10000 day as block_timestamp, o_custkey
+  from x"""
+
+
+def joepegs(spark, sf):
+    decoded, transfers, txs = M.joepegs(spark, sf)
+    return J.sales_joepegs(decoded, transfers, txs, None, RUN)
+
+
+@query("sales_joepegs", f"select * exclude (block_number, block_timestamp, o_custkey) from ({JOEPEGS_SQL})")
+def q_joepegs(spark, sf):
+    return shaped(joepegs(spark, sf))
+
+
+SALVOR_SQL = f"""
+  with s as (select *, {TX_SQL} as tx_hash, {CENTS} as cents from orders),
+  t as (select *, unnest(case o_orderpriority when '2-HIGH' then [null] when '3-MEDIUM' then [0, 1] else [0] end) as i from s)
+  select tx_hash, cast(9 as bigint) as event_index,
+         case when o_orderpriority = '1-URGENT' or o_orderstatus = 'O' then 'bid_won' else 'sale' end as event_type,
+         {adr("o_custkey + 1")} as seller_address, case when i is not null then {adr("o_custkey + 5 + i")} end as buyer_address,
+         {adr("o_custkey")} as nft_address, cast(o_orderkey as varchar) as tokenid, cast(null as varchar) as erc1155_value,
+         'AVAX' as currency_address,
+         cast(case o_orderstatus when 'F' then cents + 18 when 'O' then cents + 1000 else cents + 11 end as double) as total_price_raw,
+         cast(case o_orderstatus when 'F' then 18 else 0 end as double) as total_fees_raw,
+         cast(case o_orderstatus when 'F' then 7 else 0 end as double) as platform_fee_raw,
+         cast(case o_orderstatus when 'F' then 11 else 0 end as double) as creator_fee_raw,
+         {adr("o_custkey")} || '-' || o_orderkey || '-' || tx_hash || '-9-salvor v1' as nft_log_id
+  from t"""
+
+
+def salvor(spark, sf):
+    logs, transfers, txs = M.salvor(spark, sf)
+    return S.sales_salvor(logs, transfers, txs, None, RUN)
+
+
+@query("sales_salvor", SALVOR_SQL)
+def q_salvor(spark, sf):
+    return shaped(salvor(spark, sf))
+
+
+ELEMENT_SQL = f"""
+  with s as (select *, {TX_SQL} as tx_hash, {CENTS} as cents, o_orderdate + interval 9000 day as ts
+             from orders, unnest(range(0, o_custkey % 3 + 1)) t(k) where o_orderdate + interval 9000 day >= timestamp '2022-04-15'),
+  x as (select *, ts <= timestamp '2022-10-21 03:41:33' as early, o_orderstatus = 'F' as native from s),
+  y as (select *, case when early and native then 2e18 when early then 20 when o_orderstatus = 'P' then 0 else 3 end as platform,
+               case when early and native then 1e18 when early then 10 when o_orderstatus = 'P' then 0 else 9 end as creator,
+               case when early and native then (k + 10) * 1e18 when early then cents + 80 else cents end as price from x)
+  select tx_hash, 10 * k + 9 as event_index, case when k = 1 then 'bid_won' else 'sale' end as event_type,
+         {adr("case when k = 1 then o_custkey + 2 else o_custkey + 1 end")} as seller_address,
+         {adr("case when k = 1 then o_custkey + 1 else o_custkey + 2 end")} as buyer_address,
+         {adr("o_custkey")} as nft_address, cast(k as varchar) as tokenid, case when k = 2 then '6' end as erc1155_value,
+         case when native then 'AVAX' else '{M.TOKEN}' end as currency_address, cast(price as double) as total_price_raw,
+         cast(platform + creator as double) as total_fees_raw, cast(platform as double) as platform_fee_raw,
+         cast(creator as double) as creator_fee_raw,
+         {adr("o_custkey")} || '-' || k || '-element v1-' || tx_hash || '-' || (10 * k + 9) as nft_log_id
+  from y"""
+
+
+def element(spark, sf):
+    return E.sales_element(*M.element(spark, sf), None, RUN)
+
+
+@query("sales_element", ELEMENT_SQL)
+def q_element(spark, sf):
+    return shaped(element(spark, sf))
+
+
+# Single orders: one row per sold asset of each kind of order.
+SELLER, BUYER, NFT = adr("o_custkey + 1"), adr("o_custkey + 2"), adr("o_custkey + 1000")
+
+
+def singles_sql(version, select=""):
+    return f"""
+      with s as (select *, {TX_SQL} as tx_hash, {CENTS} as cents, o_orderpriority as p, o_orderstatus as st from orders),
+      a as (
+        select *, 'sale' as event_type, '0' as part, 'AVAX' as cur, cents + 30.0 as price, 10.0 as platform, 20.0 as creator, null as v1155 from s where p = '1-URGENT'
+        union all select *, 'sale', '0', 'AVAX', (cents + 30) / 2.0, 5.0, 10.0, null from s where p = '2-HIGH'
+        union all select *, 'sale', '1', 'AVAX', (cents + 30) / 2.0, 5.0, 10.0, '5' from s where p = '2-HIGH'
+        union all select *, 'sale', '0', 'AVAX', cents, 0.0, 0.0, null from s where p = '3-MEDIUM'
+        union all select *, 'bid_won', '0', '{M.TOKEN}', cents, 10.0, 20.0, null from s where p = '4-NOT SPECIFIED'
+        union all select *, 'bid_won', '0', '{M.TOKEN}', cents, 0.0, 0.0, null from s where p = '5-LOW' and st = 'F'
+        union all select *, 'bid_won', '0', null, 0.0, 0.0, 0.0, null from s where p = '5-LOW' and st = 'O'
+        union all select *, 'sale', '0', null, 0.0, 0.0, 0.0, null from s where p = '5-LOW' and st = 'P'),
+      b as (select *, case when part = '1' then '77' else cast(o_orderkey as varchar) end as tokenid,
+                   case when p = '1-URGENT' and st = 'O' then {adr("o_custkey")} else {NFT} end as nft from a)
+      select tx_hash, cast(1 as bigint) as event_index, event_type,
+             case when p = '5-LOW' and st = 'O' then {BUYER} else {SELLER} end as seller_address, {BUYER} as buyer_address,
+             nft as nft_address, tokenid, v1155 as erc1155_value, cur as currency_address, cast(price as double) as total_price_raw,
+             cast(platform + creator as double) as total_fees_raw, cast(platform as double) as platform_fee_raw,
+             cast(creator as double) as creator_fee_raw,
+             nft || '-' || tokenid || '-seaport_{version}-1-' || tx_hash as nft_log_id
+      from b"""
+
+
+def matched_sql(version):
+    """Rows of matched groups: the bid's asset, priced by the listing."""
+    row = lambda index, ident, price, platform, creator, cur, seller, buyer, where: f"""
+      select tx_hash, cast({index} as bigint) as event_index, 'bid_won' as event_type, {seller} as seller_address,
+             {buyer} as buyer_address, {NFT} as nft_address, {ident} as tokenid, cast(null as varchar) as erc1155_value,
+             {cur} as currency_address, cast({price} as double) as total_price_raw,
+             cast({platform} + {creator} as double) as total_fees_raw, cast({platform} as double) as platform_fee_raw,
+             cast({creator} as double) as creator_fee_raw,
+             {NFT} || '-' || {ident} || '-seaport_{version}-{index}-' || tx_hash as nft_log_id
+      from s where {where}"""
+    key, tok = "cast(o_orderkey as varchar)", f"'{M.TOKEN}'"
+    return f"""
+      with s as (select *, {TX_SQL} as tx_hash, {CENTS} as cents from orders)
+      {row(11, key, 'cents + 30', 10, 20, tok, SELLER, BUYER, "o_orderstatus in ('F', 'P')")}
+      union all {row(14, key + " || '5'", 'cents + 4 + 30', 10, 20, tok, SELLER, BUYER, "o_orderstatus = 'P'")}
+      union all {row(10, key + " || '9'", 'cents', 0, 0, tok, BUYER, SELLER, "o_orderstatus = 'O'")}
+      union all {row(11, key, '0', 0, 0, 'null', SELLER, BUYER, "o_orderstatus = 'O'")}"""
+
+
+def pairs_sql():
+    """Rows of matched pairs: the bid states the price; the deal holds no bid."""
+    row = lambda index, ident, where: f"""
+      select tx_hash, cast({index} as bigint) as event_index, 'bid_won' as event_type, {SELLER} as seller_address,
+             {BUYER} as buyer_address, {NFT} as nft_address, {ident} as tokenid, cast(null as varchar) as erc1155_value,
+             '{M.TOKEN}' as currency_address, cast(cents + 30 as double) as total_price_raw, cast(30 as double) as total_fees_raw,
+             cast(10 as double) as platform_fee_raw, cast(20 as double) as creator_fee_raw,
+             {NFT} || '-' || {ident} || '-seaport_1_4-{index}-' || tx_hash as nft_log_id
+      from s where {where}"""
+    key = "cast(o_orderkey as varchar)"
+    return f"""
+      with s as (select *, {TX_SQL} as tx_hash, {CENTS} as cents from orders)
+      {row(11, key, "o_orderstatus in ('F', 'P')")} union all {row(14, key + " || '5'", "o_orderstatus = 'P'")}"""
+
+
+DAYS = {"1_1": 10_500, "1_4": 10_500, "1_5": 10_600, "1_6": 11_000}
+
+
+def seaport(spark, sf, version):
+    decoded, logs, txs = M.seaport(spark, sf, version, DAYS[version])
+    return Z.sales_seaport(version, decoded, logs, txs, None, RUN)
+
+
+@query("sales_seaport_1_1", singles_sql("1_1"))
+def seaport_1_1(spark, sf):
+    return shaped(seaport(spark, sf, "1_1"))
+
+
+@query("sales_seaport_fulfilled", f"select * from ({singles_sql('1_6')})")
+def seaport_fulfilled(spark, sf):
+    """Only single orders, with the later version's rules."""
+    df = M.base(spark, sf, DAYS["1_6"])
+    contract = Z.VERSIONS["1_6"].contract
+    ev = M.events(df, M.single_orders(contract))
+    _, logs, txs = M.seaport(spark, sf, "1_6", DAYS["1_6"])
+    return shaped(Z.sales_seaport("1_6", ev, logs.filter(F.get("topics", F.lit(0)) != Z.MATCHED), txs, None, RUN))
+
+
+@query("sales_seaport_1_5", f"select * from ({singles_sql('1_5')}) union all select * from ({matched_sql('1_5')})")
+def seaport_1_5(spark, sf):
+    return shaped(seaport(spark, sf, "1_5"))
+
+
+@query("sales_seaport_1_6", f"select * from ({singles_sql('1_6')}) union all select * from ({matched_sql('1_6')})")
+def seaport_1_6(spark, sf):
+    return shaped(seaport(spark, sf, "1_6"))
+
+
+@query("sales_seaport_matched_group", matched_sql("1_6"))
+def seaport_matched_group(spark, sf):
+    df = M.base(spark, sf, DAYS["1_6"])
+    ev = M.events(df, M.matched_orders(Z.VERSIONS["1_6"].contract))
+    return shaped(Z.sales_seaport("1_6", ev, ev, M.transactions(df), None, RUN))
