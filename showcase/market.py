@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerloom.operators.groups import keep
 from ledgerloom.plans.nft import element as E, joepegs as J, salvor as S, seaport as Z
 from ledgerloom.plans.nft.common import WRAPPED_NATIVE, NATIVE_PLACEHOLDER
 from .chain import hx, orders
@@ -83,11 +84,12 @@ def event(when, index, name, contract, decoded=None, full=None, topics=None, dat
 
 def events(df: DataFrame, *groups: Column) -> DataFrame:
     """Rows of all events of each order."""
-    keep = ["block_number", "block_timestamp", "tx_hash", "modified_timestamp"]
-    ev = df.select(*keep, addr("o_custkey").alias("origin_from_address"), F.lit("0x01").alias("origin_to_address"),
+    own = ["block_number", "block_timestamp", "tx_hash", "modified_timestamp"]
+    ev = df.select(*own, addr("o_custkey").alias("origin_from_address"), F.lit("0x01").alias("origin_to_address"),
                    F.lit("0xa9059cbb").alias("origin_function_signature"), F.lit(True).alias("tx_succeeded"),
                    F.inline(F.filter(F.concat(*groups), lambda e: e["_on"])))
-    return ev.drop("_on")
+    # the plans read these rows from a table, several times; so does this
+    return keep(ev.drop("_on"))
 
 
 def repeat(n, make) -> Column:
@@ -97,7 +99,8 @@ def repeat(n, make) -> Column:
 
 def transactions(df: DataFrame) -> DataFrame:
     return df.select("tx_hash", "block_number", "block_timestamp", "modified_timestamp",
-                     addr("o_custkey").alias("from_address"), F.lit("0x01").alias("to_address"),
+                     addr("o_custkey").alias("from_address"),
+                     F.when(F.col("o_custkey") % 10 == 9, "0x02").otherwise("0x01").alias("to_address"),
                      F.lit("0xa9059cbb").alias("origin_function_signature"),
                      (F.col("o_custkey") / 1000).alias("tx_fee"),
                      F.concat(F.lit("0x"), F.lpad(F.hex(F.col("o_custkey") % 10), 8, "0")).alias("input_data"))
@@ -252,7 +255,7 @@ def single_orders(contract: str) -> Column:
     offered = prio() == "4-NOT SPECIFIED"
     return F.array(
         order(prio() == "1-URGENT", 1, contract, h(1), seller(), buyer(), [nft], [pay(cents(), seller()), *fees()]),
-        order(prio() == "2-HIGH", 1, contract, h(2), seller(), buyer(), [nft, item(3, nft_address(), "77", "5")], [pay(cents(), seller()), *fees()]),
+        order(prio() == "2-HIGH", 1, contract, h(2), seller(), buyer(), [nft, item(3, nft_address(), F.concat(ident(), F.lit("077")), "5")], [pay(cents(), seller()), *fees()]),
         order(prio() == "3-MEDIUM", 1, contract, h(3), seller(), nobody(), [nft], [pay(cents(), seller()), item(2, nft_address(), ident(), "1", buyer())]),
         order(offered, 1, contract, h(4), buyer(), F.when(status() == "P", nobody()).otherwise(seller()), [pay(cents(), F.lit(None), 1)],
               [item(2, nft_address(), ident(), "1", buyer()), *fees(1)]),
@@ -262,7 +265,7 @@ def single_orders(contract: str) -> Column:
         order(low & (status() == "P"), 1, contract, h(7), seller(), buyer(), [nft], []))
 
 
-def matched_orders(contract: str) -> Column:
+def matched_orders(contract: str, deals: bool = True) -> Column:
     """Matched orders from event 10 on: a listing and a bid (F), an asset for
     an asset with money on top (O), two listings with bids under two match
     events (P)."""
@@ -285,7 +288,7 @@ def matched_orders(contract: str) -> Column:
                   [item(2, nft_address(), ident(), "1", buyer())]),
             event(o, 12, "OrdersMatched", contract, "{}", None, F.array(F.lit(Z.MATCHED)),
                   F.concat(F.lit("0x"), word(F.lit(32)), word(F.lit(2)), F.substring(h(0), 3, 64), F.substring(h(1), 3, 64)))]
-    return F.array(*pair(f | p, 10, 0, ident()), *pair(p, 13, 4, F.concat(ident(), F.lit("5"))), *swap)
+    return F.array(*pair(f | p, 10, 0, ident()), *pair(p, 13, 4, F.concat(ident(), F.lit("5"))), *(swap if deals else []))
 
 
 def seaport(spark, sf, version: str, days: int):
@@ -294,7 +297,7 @@ def seaport(spark, sf, version: str, days: int):
     df = base(spark, sf, days)
     parts = [single_orders(contract)]
     if Z.VERSIONS[version].matching:
-        parts.append(matched_orders(contract))
+        parts.append(matched_orders(contract, Z.VERSIONS[version].matching == "group"))
     ev = events(df, *parts)
     # transfers through an operator rename the asset of public 1-URGENT buys of status O
     moved = events(df, F.array(event((prio() == "1-URGENT") & (status() == "O"), 50, None, addr("o_custkey"), topics=F.array(

@@ -126,7 +126,7 @@ def singles_sql(version, select=""):
         union all select *, 'bid_won', '0', '{M.TOKEN}', cents, 0.0, 0.0, null from s where p = '5-LOW' and st = 'F'
         union all select *, 'bid_won', '0', null, 0.0, 0.0, 0.0, null from s where p = '5-LOW' and st = 'O'
         union all select *, 'sale', '0', null, 0.0, 0.0, 0.0, null from s where p = '5-LOW' and st = 'P'),
-      b as (select *, case when part = '1' then '77' else cast(o_orderkey as varchar) end as tokenid,
+      b as (select *, cast(o_orderkey as varchar) || case when part = '1' then '077' else '' end as tokenid,
                    case when p = '1-URGENT' and st = 'O' then {adr("o_custkey")} else {NFT} end as nft from a)
       select tx_hash, cast(1 as bigint) as event_index, event_type,
              case when p = '5-LOW' and st = 'O' then {BUYER} else {SELLER} end as seller_address, {BUYER} as buyer_address,
@@ -209,3 +209,112 @@ def seaport_matched_group(spark, sf):
     df = M.base(spark, sf, DAYS["1_6"])
     ev = M.events(df, M.matched_orders(Z.VERSIONS["1_6"].contract))
     return shaped(Z.sales_seaport("1_6", ev, ev, M.transactions(df), None, RUN))
+
+
+@query("sales_seaport_matched_pair", pairs_sql())
+def seaport_matched_pair(spark, sf):
+    df = M.base(spark, sf, DAYS["1_4"])
+    ev = M.events(df, M.matched_orders(Z.VERSIONS["1_4"].contract, deals=False))
+    return shaped(Z.sales_seaport("1_4", ev, ev, M.transactions(df), None, RUN))
+
+
+@query("sales_seaport_1_4", f"select * from ({singles_sql('1_4')}) union all select * from ({pairs_sql()})")
+def seaport_1_4(spark, sf):
+    return shaped(seaport(spark, sf, "1_4"))
+
+
+@query("aggregator_list", """
+  select '0' as aggregator_identifier, '0' as aggregator, 'calldata' as aggregator_type, timestamp '2020-01-01' as _inserted_timestamp
+  union all select '0x0000000000000000000000000000000000000000', 'name', 'router', timestamp '2020-01-01'
+  union all select cast(s_suppkey as varchar), 'label of ' || s_name, 'calldata', timestamp '2020-01-01' from supplier where s_suppkey <> 0""")
+def q_aggregator_list(spark, sf):
+    """Placeholders, then one label per supplier twice, then a batch that
+    renames them all: first-listed times stay."""
+    s = table(spark, sf, "supplier").filter("s_suppkey <> 0").select(
+        F.col("s_suppkey").cast("string").alias("aggregator_identifier"), F.col("s_name").alias("aggregator"),
+        F.lit("calldata").alias("aggregator_type"), F.lit("2020-01-01").cast("timestamp_ntz").alias("_inserted_timestamp"))
+    older = s.withColumns({"aggregator": F.lit("old"), "_inserted_timestamp": F.lit("2019-01-01").cast("timestamp_ntz")})
+    target = aggregator_list(aggregator_rows(spark).unionByName(s).unionByName(older), None)
+    batch = s.withColumns({"aggregator": F.concat(F.lit("label of "), "aggregator"),
+                           "_inserted_timestamp": F.lit("2021-01-01").cast("timestamp_ntz")})
+    return aggregator_list(batch, target)
+
+
+# -- all markets -------------------------------------------------------------
+
+def prices(spark, sf):
+    """Price of the wrapped coin at midnight of every order's day but Sundays."""
+    days = table(spark, sf, "orders").select("o_orderdate").distinct().filter(F.dayofweek("o_orderdate") != 1)
+    return days.select(F.expr("o_orderdate + interval 10000 days").alias("hour"), F.lit("WAVAX").alias("symbol"),
+                       F.lit(WRAPPED_NATIVE).alias("token_address"), F.lit(18).alias("decimals"),
+                       (F.dayofmonth("o_orderdate") + 10.0).alias("price"))
+
+
+def contracts(spark, sf, day="2020-01-01"):
+    p = table(spark, sf, "part")
+    return p.select(M.addr("p_partkey").alias("contract_address"), F.lit(None).cast("string").alias("token_symbol"),
+                    F.when(F.col("p_size") > 10, F.col("p_name")).alias("token_name"), F.lit(None).cast("int").alias("token_decimals"),
+                    F.lit(day).cast("timestamp_ntz").alias("_inserted_timestamp"))
+
+
+def aggregators(spark, sf, day="2020-01-01"):
+    s = table(spark, sf, "supplier").filter("s_suppkey < 10")
+    rows = s.select(F.lpad(F.col("s_suppkey").cast("string"), 8, "0").alias("aggregator_identifier"), F.col("s_name").alias("aggregator"),
+                    F.when(F.col("s_suppkey") % 2 == 1, "calldata").otherwise("router").alias("aggregator_type"))
+    router = s.filter("s_suppkey = 0").select(F.lit("0x02").alias("aggregator_identifier"), F.lit("routed").alias("aggregator"),
+                                              F.lit("router").alias("aggregator_type"))
+    return rows.unionByName(router).withColumn("_inserted_timestamp", F.lit(day).cast("timestamp_ntz"))
+
+
+COMPLETE_SQL = f"""
+  with j as ({JOEPEGS_SQL}),
+  p as (select distinct o_orderdate + interval 10000 day as hour, dayofmonth(o_orderdate) + 10.0 as price from orders
+        where dayofweek(o_orderdate) <> 0),
+  a as (select lpad(cast(s_suppkey as varchar), 8, '0') as tail, s_name as label from supplier where s_suppkey < 10 and s_suppkey % 2 = 1)
+  select j.tx_hash, j.event_index, j.nft_log_id, case when o_custkey % 10 = 9 then 'routed' else 'joepegs' end as platform_name,
+         label as aggregator_name, case when p_size > 10 then p_name end as project_name,
+         case when price is not null then 'WAVAX' end as currency_symbol, total_price_raw / 1e18 as price,
+         coalesce(total_price_raw / 1e18 * price, 0) as price_usd, total_fees_raw / 1e18 as total_fees,
+         coalesce(creator_fee_raw / 1e18 * price, 0) as creator_fee_usd, o_custkey / 1000 as tx_fee,
+         o_custkey / 1000 * price as tx_fee_usd,
+         md5(j.tx_hash || '-' || j.event_index || '-' || nft_address || '-' || tokenid || '-JoepegExchange') as complete_nft_sales_id
+  from j left join p on j.block_timestamp = p.hour
+  left join a on tail = lpad(cast(o_custkey % 10 as varchar), 8, '0')
+  left join (select {adr('p_partkey')} as addr, * from part) on addr = nft_address"""
+COMPLETE = ["tx_hash", "event_index", "nft_log_id", "platform_name", "aggregator_name", "project_name", "currency_symbol", "price",
+            "price_usd", "total_fees", "creator_fee_usd", "tx_fee", "tx_fee_usd", "complete_nft_sales_id"]
+
+
+def complete(spark, sf):
+    return sales_complete({"joepegs": joepegs(spark, sf)}, prices(spark, sf), contracts(spark, sf), aggregators(spark, sf), None, RUN)
+
+
+@query("sales_complete", COMPLETE_SQL)
+def q_complete(spark, sf):
+    return complete(spark, sf).select(*COMPLETE)
+
+
+@query("sales_complete_markets", """
+  select platform_name, platform_exchange_version, count(*) as n from (
+    select case when o_custkey % 10 = 9 then 'routed' else 'joepegs' end as platform_name, 'JoepegExchange' as platform_exchange_version
+    from orders, unnest(range(0, o_custkey % 3 + 1)) t(k)
+    union all
+    select 'salvor', 'salvor v1' from orders
+    union all
+    select case when o_custkey % 10 = 9 then 'routed' else 'element' end, 'element v1' from orders, unnest(range(0, o_custkey % 3 + 1)) t(k)
+    where o_orderdate + interval 9000 day >= timestamp '2022-04-15') group by all""")
+def q_complete_markets(spark, sf):
+    out = sales_complete({"joepegs": joepegs(spark, sf), "salvor": salvor(spark, sf), "element": element(spark, sf)},
+                         prices(spark, sf), contracts(spark, sf), aggregators(spark, sf), None, RUN)
+    return out.groupBy("platform_name", "platform_exchange_version").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("gold_nft_sales", f"""
+  select c.tx_hash, c.event_index, j.nft_address as contract_address, c.project_name as name, j.tokenid as token_id,
+         coalesce(j.erc1155_value, '1') as quantity, case when j.erc1155_value is null then 'erc721' else 'erc1155' end as token_standard,
+         c.price_usd, c.complete_nft_sales_id as ez_nft_sales_id, timestamp '2033-01-01' as modified_timestamp
+  from ({COMPLETE_SQL}) c join ({JOEPEGS_SQL}) j using (nft_log_id)""")
+def q_gold_nft_sales(spark, sf):
+    return gold_nft_sales(complete(spark, sf)).select(
+        "tx_hash", "event_index", "contract_address", "name", "token_id", "quantity", "token_standard", "price_usd",
+        "ez_nft_sales_id", "modified_timestamp")

@@ -1 +1,87 @@
+"""Data-quality checks."""
+from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from ledgerloom.operators import quality as Q
+from .base import query, table
+
+
+@query("dq_unique_combination", """
+  select l_orderkey, l_linenumber, count(*) as n_records from lineitem group by all having count(*) > 1""")
+def dq_unique_combination(spark, sf):
+    return Q.unique(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+GAPS = """
+  select {part} previous_value, current_value, current_value - previous_value - 1 as missing from (
+    select distinct {part} lag({c}) over ({over} order by {c}) as previous_value, {c} as current_value from {src})
+  where current_value - previous_value > 1"""
+
+
+@query("dq_sequence_gaps", GAPS.format(part="", c="l_orderkey", over="", src="(select distinct l_orderkey from lineitem)"))
+def dq_sequence_gaps(spark, sf):
+    return Q.sequence_gaps(table(spark, sf, "lineitem"), "l_orderkey")
+
+
+@query("dq_sequence_gaps_grouped", GAPS.format(part="l_orderkey,", c="l_linenumber", over="partition by l_orderkey",
+                                               src="(select distinct l_orderkey, l_linenumber from lineitem where l_returnflag <> 'N')"))
+def dq_sequence_gaps_grouped(spark, sf):
+    return Q.sequence_gaps(table(spark, sf, "lineitem"), "l_linenumber", "l_orderkey", F.col("l_returnflag") != "N")
+
+
+@query("dq_not_null", "select doc_id from documents left join labels using (doc_id) where source <> 'x' and quality is null")
+def dq_not_null(spark, sf):
+    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    return Q.not_null(d, "quality", F.col("source") != "x").select("doc_id")
+
+
+@query("dq_match_regex", "select p_partkey, p_brand from part where p_size > 5 and not regexp_matches(p_brand, '#[12][0-9]*$')")
+def dq_match_regex(spark, sf):
+    return Q.matches(table(spark, sf, "part"), "p_brand", "#[12][0-9]*$", F.col("p_size") > 5).select("p_partkey", "p_brand")
+
+
+@query("dq_in_set", "select o_orderkey, o_orderstatus from orders where o_orderstatus not in ('F', 'O')")
+def dq_in_set(spark, sf):
+    return Q.in_set(table(spark, sf, "orders"), "o_orderstatus", ["F", "O"]).select("o_orderkey", "o_orderstatus")
+
+
+@query("dq_type_in", """
+  select 'o_totalprice' as column_name, 'double' as actual_type, count(*) as n_rows from orders""")
+def dq_type_in(spark, sf):
+    o = table(spark, sf, "orders")
+    bad = Q.type_in(o, "o_totalprice", ["bigint", "decimal"]).unionByName(Q.type_in(o, "o_orderkey", ["bigint", "decimal"]))
+    return bad.withColumn("n_rows", o.agg(F.count(F.lit(1))).scalar())
+
+
+@query("dq_recent_data", "select max(ts) as newest from events having max(ts) < timestamp '2024-02-10'")
+def dq_recent_data(spark, sf):
+    return Q.recent(table(spark, sf, "events"), "ts", 10, dt.datetime(2024, 2, 20))
+
+
+@query("dq_tx_block_count", """
+  select l_partkey, min(l_suppkey) as first_block, max(l_suppkey) as last_block from lineitem group by l_partkey
+  having count(distinct l_suppkey) > 1""")
+def dq_tx_block_count(spark, sf):
+    return Q.one_block_per_tx(table(spark, sf, "lineitem"), "l_partkey", "l_suppkey")
+
+
+@query("dq_severity", """
+  select count(*) as n_failures, case when count(*) > 10 then 'error' when count(*) <> 0 then 'warn' else 'pass' end as status
+  from orders where o_orderstatus = 'P'
+  union all select count(*), case when count(*) > 10000000000 then 'error' when count(*) <> 0 then 'warn' else 'pass' end
+  from orders where o_orderstatus = 'P'
+  union all select count(*), 'pass' from orders where o_orderstatus = 'X'""")
+def dq_severity(spark, sf):
+    o = table(spark, sf, "orders")
+    bad = o.filter("o_orderstatus = 'P'")
+    return (Q.grade(bad, "!=0", ">10").unionByName(Q.grade(bad, "!=0", ">10000000000"))
+            .unionByName(Q.grade(o.filter("o_orderstatus = 'X'"))))
+
+
+@query("dq_store_failures", "select l_orderkey, l_linenumber, count(*) as n_records from lineitem group by all having count(*) > 1")
+def dq_store_failures(spark, sf):
+    """The rows that would be stored; writing them is tested on files."""
+    return Q.unique(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])

@@ -1 +1,133 @@
+"""Sources and sinks. Sinks are shown in their pure form: the new target."""
+from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from ledgerloom.operators import incremental as I
+from ledgerloom.sources import aggregator_rows, clustered, delete_insert, evolve, literal, merge_upsert, range_pruned_merge
+from ledgerloom.sources.landed import partition_number, read_landed
+from ledgerloom.sources.constants import FEE_WALLETS
+from . import chain
+from .base import query, table
+from .chain import BLOCK_SQL, TX_SQL
+
+
+@query("src_landed_recent", """
+  select event_id, cast(null as bigint) as partition_key, 21248000 + event_id % 7 * 1000 as named_key from events""")
+def src_landed_recent(spark, sf):
+    """Files modified since 1990: all of them. Their names hold no number, so
+    the name rule is shown on made paths next to it."""
+    e = read_landed(spark, f"{sf}/events.parquet", since=dt.datetime(1990, 1, 1), root=sf)
+    path = F.concat(F.lit("raw/chain/blocks/"), (F.col("event_id") % 7 * 1000 + 21_248_000).cast("string"), F.lit("_x.json"))
+    return e.select("event_id", "partition_key", partition_number(path).alias("named_key"))
+
+
+@query("src_landed_full", "select user_id, count(*) as n, min(ts) as first_ts from events group by user_id")
+def src_landed_full(spark, sf):
+    e = read_landed(spark, f"{sf}/events.parquet", since=dt.datetime(2100, 1, 1), full=True, root=sf)
+    return e.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"))
+
+
+@query("src_number_sequence", "select x as block_number from unnest(range(101, (select max(o_orderkey) + 1 from orders))) t(x)")
+def src_number_sequence(spark, sf):
+    top = table(spark, sf, "orders").agg(F.max("o_orderkey")).first()[0]
+    return I.number_sequence(spark, 100, top)
+
+
+@query("src_values", """
+  select s_suppkey, aggregator, is_wallet from (select s_suppkey, cast(s_suppkey as varchar) as id from supplier) s
+  left join (values ('0', '0', false)) v(aggregator_identifier, aggregator, is_wallet) on id = aggregator_identifier""")
+def src_values(spark, sf):
+    wallets = literal(spark, [(w, True) for w in FEE_WALLETS], "aggregator_identifier string, w boolean")
+    v = aggregator_rows(spark).join(F.broadcast(wallets), "aggregator_identifier", "left").select(
+        F.col("aggregator_identifier").alias("id"), "aggregator", F.coalesce("w", F.lit(False)).alias("is_wallet"))
+    s = table(spark, sf, "supplier").withColumn("id", F.col("s_suppkey").cast("string"))
+    return s.join(F.broadcast(v), "id", "left").select("s_suppkey", "aggregator", "is_wallet")
+
+
+@query("src_explode_txs", f"""
+  select {BLOCK_SQL} as block_number, {TX_SQL} as tx_hash from orders
+  union all select {BLOCK_SQL}, printf('0x%064x', o_orderkey + 1099511627776) from orders""")
+def src_explode_txs(spark, sf):
+    from ledgerloom.plans.ingest import expected_txs
+    o = chain.orders(spark, sf)
+    return expected_txs(o.select("block_number", F.array("tx_hash", chain.hx(F.col("o_orderkey") + 2 ** 40, 64)).alias("transactions")))
+
+
+LINE = ["l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_quantity"]
+OLD = "l_linestatus = 'F'"
+NEW = "l_linestatus = 'O'"
+
+
+def halves(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return li.filter(OLD).select(*LINE), li.filter(NEW).select(*LINE)
+
+
+@query("sink_delete_insert", f"""
+  select {', '.join(LINE)} from lineitem where {NEW}
+  union all select {', '.join(LINE)} from lineitem where {OLD} and l_orderkey not in (select l_orderkey from lineitem where {NEW})""")
+def sink_delete_insert(spark, sf):
+    return delete_insert(*halves(spark, sf), "l_orderkey")
+
+
+TARGET = "(select o_orderkey, o_custkey, o_totalprice, o_orderdate, 'old' as state from orders where o_orderdate < timestamp '2000-01-01')"
+BATCH = "(select o_orderkey, o_custkey + 1 as o_custkey, o_totalprice, o_orderdate, 'new' as state from orders where o_orderdate >= timestamp '1998-01-01')"
+
+
+def versions(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    at = lambda d: F.lit(d).cast("timestamp_ntz")
+    return (o.filter(F.col("o_orderdate") < at("2000-01-01")).withColumn("state", F.lit("old")),
+            o.filter(F.col("o_orderdate") >= at("1998-01-01")).withColumns({"o_custkey": F.col("o_custkey") + 1, "state": F.lit("new")}))
+
+
+@query("sink_merge_upsert", f"""
+  select * from {BATCH} union all select * from {TARGET} where o_orderkey not in (select o_orderkey from {BATCH})""")
+def sink_merge_upsert(spark, sf):
+    return merge_upsert(*versions(spark, sf), "o_orderkey")
+
+
+@query("sink_merge_partial", f"""
+  select coalesce(t.o_orderkey, b.o_orderkey) as o_orderkey, case when b.o_orderkey is not null then b.o_custkey else t.o_custkey end as o_custkey,
+         coalesce(t.o_totalprice, b.o_totalprice) as o_totalprice, coalesce(t.o_orderdate, b.o_orderdate) as o_orderdate,
+         coalesce(t.state, b.state) as state
+  from {TARGET} t full join {BATCH} b on t.o_orderkey = b.o_orderkey""")
+def sink_merge_partial(spark, sf):
+    return merge_upsert(*versions(spark, sf), "o_orderkey", update_cols=["o_custkey"])
+
+
+@query("sink_merge_keep", f"""
+  select coalesce(t.o_orderkey, b.o_orderkey) as o_orderkey, case when b.o_orderkey is not null then b.o_custkey else t.o_custkey end as o_custkey,
+         coalesce(t.o_totalprice, b.o_totalprice) as o_totalprice, coalesce(t.o_orderdate, b.o_orderdate) as o_orderdate,
+         coalesce(t.state, b.state) as state
+  from {TARGET} t full join {BATCH} b on t.o_orderkey = b.o_orderkey""")
+def sink_merge_keep(spark, sf):
+    return merge_upsert(*versions(spark, sf), "o_orderkey", keep_cols=["state"])
+
+
+@query("sink_range_pruned_merge", f"""
+  select * from {BATCH}
+  union all select * from {TARGET} where o_orderkey not in (select o_orderkey from {BATCH})
+     or o_orderdate < (select min(o_orderdate) from {BATCH}) or o_orderdate > (select max(o_orderdate) from {BATCH})""")
+def sink_range_pruned_merge(spark, sf):
+    return range_pruned_merge(*versions(spark, sf), "o_orderkey", "o_orderdate")
+
+
+@query("sink_clustered", """
+  select o_orderkey, cast(round(o_orderkey, -3) as bigint) as bucket, cast(o_orderdate as date) as day from orders""")
+def sink_clustered(spark, sf):
+    from ledgerloom import functions as L
+    out = clustered(table(spark, sf, "orders"), {"bucket": L.bucket_1000("o_orderkey")}, ["o_orderkey"])
+    return out.select("o_orderkey", "bucket", F.to_date("o_orderdate").alias("day"))
+
+
+@query("sink_append_new_columns", """
+  select l_orderkey, l_quantity, null as l_tax, 'old' as side from lineitem where l_linestatus = 'F'
+  union all select l_orderkey, l_quantity, l_tax, null from lineitem where l_linestatus = 'O'""")
+def sink_append_new_columns(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return evolve(li.filter(OLD).select("l_orderkey", "l_quantity", F.lit("old").alias("side")),
+                  li.filter(NEW).select("l_orderkey", "l_quantity", "l_tax"))
