@@ -5,33 +5,47 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..columns import names
 
 ROOT = "ORIGIN"
-_SLICE = 20_000
-_NODE = [("trace_address", pa.string()), ("parent_trace_address", pa.string()),
-         ("trace_address_array", pa.list_(pa.string())),
-         ("trace_json", pa.map_(pa.string(), pa.string()))]
+_SLICE = 50_000
 
 
 def _text(v) -> str:
     return v if isinstance(v, str) else json.dumps(v, separators=(",", ":"))
 
 
-def _walk(tree: dict, child: str) -> Iterator[tuple]:
-    """(path, parent path, path parts, own fields) of each node, any depth."""
-    todo = [(tree, ())]
-    while todo:
-        node, path = todo.pop()
-        own = [(k, _text(v)) for k, v in node.items() if k != child and v is not None]
-        here = "_".join(path) if path else ROOT
-        above = None if not path else ("_".join(path[:-1]) or ROOT)
-        yield here, above, list(path) or [ROOT], own
-        for i, sub in enumerate(node.get(child) or ()):
-            if isinstance(sub, dict):
-                todo.append((sub, path + (str(i),)))
+class _Slice:
+    """Columns of the nodes found so far, in Arrow's flat layout."""
+
+    def __init__(self):
+        self.rows, self.paths, self.ends, self.keys, self.values = [], [], [0], [], []
+
+    def walk(self, row: int, tree: dict, child: str) -> None:
+        """Add every node of a tree, any depth: its path and own fields."""
+        todo = [(tree, "")]
+        while todo:
+            node, path = todo.pop()
+            for k, v in node.items():
+                if k != child and v is not None:
+                    self.keys.append(k)
+                    self.values.append(v if type(v) is str else _text(v))
+            self.ends.append(len(self.keys))
+            self.rows.append(row)
+            self.paths.append(path or ROOT)
+            prefix = path + "_" if path else ""
+            for i, sub in enumerate(node.get(child) or ()):
+                if isinstance(sub, dict):
+                    todo.append((sub, f"{prefix}{i}"))
+
+    def batch(self, source: pa.RecordBatch, keep: list[str]) -> pa.RecordBatch:
+        kept = source.select(keep).take(pa.array(self.rows, pa.int32()))
+        fields = pa.MapArray.from_arrays(pa.array(self.ends, pa.int32()), pa.array(self.keys, pa.string()),
+                                         pa.array(self.values, pa.string()))
+        return pa.RecordBatch.from_arrays([*kept.columns, pa.array(self.paths, pa.string()), fields],
+                                          [*keep, "trace_address", "trace_json"])
 
 
 def flatten_tree(df: DataFrame, json_col: str, keep, child_key: str = "calls") -> DataFrame:
@@ -45,32 +59,27 @@ def flatten_tree(df: DataFrame, json_col: str, keep, child_key: str = "calls") -
     keep = names(keep)
     schema = T.StructType([df.schema[k] for k in keep] + [
         T.StructField("trace_address", T.StringType()),
-        T.StructField("parent_trace_address", T.StringType()),
-        T.StructField("trace_address_array", T.ArrayType(T.StringType())),
         T.StructField("trace_json", T.MapType(T.StringType(), T.StringType()))])
 
     def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(batch, rows, found):
-            kept = batch.select(keep).take(pa.array(rows, pa.int32()))
-            made = [pa.array([f[i] for f in found], t) for i, (_, t) in enumerate(_NODE)]
-            return pa.RecordBatch.from_arrays([*kept.columns, *made], [*keep, *[n for n, _ in _NODE]])
-
         for batch in batches:
-            rows, found = [], []
-            for r, doc in enumerate(batch.column(json_col)):
+            found = _Slice()
+            for row, doc in enumerate(batch.column(json_col).to_pylist()):
                 try:
-                    tree = json.loads(doc.as_py()) if doc.is_valid else None
+                    tree = json.loads(doc) if doc else None
                 except ValueError:
-                    tree = None
-                if not isinstance(tree, dict):
                     continue
-                for node in _walk(tree, child_key):
-                    rows.append(r)
-                    found.append(node)
-                    if len(found) >= _SLICE:
-                        yield flush(batch, rows, found)
-                        rows, found = [], []
-            if found:
-                yield flush(batch, rows, found)
-
-    return df.select(*keep, json_col).mapInArrow(nodes, schema)
+                if isinstance(tree, dict):
+                    found.walk(row, tree, child_key)
+                    if len(found.rows) >= _SLICE:
+                        yield found.batch(batch, keep)
+                        found = _Slice()
+            if found.rows:
+                yield found.batch(batch, keep)
+
+    path = F.col("trace_address")
+    last = F.length(F.substring_index(path, "_", -1))
+    return df.select(*keep, json_col).mapInArrow(nodes, schema).withColumns({
+        "parent_trace_address": F.when(path.contains("_"), path.substr(F.lit(1), F.length(path) - last - 1))
+                                 .when(path != ROOT, ROOT),
+        "trace_address_array": F.split(path, "_")})

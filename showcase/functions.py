@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ledgerloom import functions as L
 from ledgerloom.operators import project as P
 from .base import query, table
+from .chain import spread
 
 HEX64 = "printf('0x%064x', {})"
 
@@ -21,7 +22,7 @@ def hex_of(c, width: int = 0):
          cast(cast(o_custkey as hugeint) * 1208925819614629174706176 + o_orderkey as varchar) as wide_dec
   from orders""")
 def fn_hex_to_int(spark, sf):
-    o = table(spark, sf, "orders")
+    o = spread(table(spark, sf, "orders"), "o_orderkey")
     wide = F.concat(hex_of("o_custkey"), F.lpad(F.lower(F.hex("o_orderkey")), 20, "0"))
     return o.select("o_orderkey", L.hex_to_dec(hex_of("o_custkey")).alias("short_dec"),
                     L.hex_to_long(hex_of("o_custkey")).alias("short_long"),
@@ -33,7 +34,7 @@ def fn_hex_to_int(spark, sf):
          cast(639935 - o_custkey as varchar) as near_max
   from orders""")
 def fn_hex_to_int_256(spark, sf):
-    o = table(spark, sf, "orders")
+    o = spread(table(spark, sf, "orders"), "o_orderkey")
     low = F.lpad(F.lower(F.hex(F.lit(0xffffffff) - F.col("o_custkey"))), 8, "0")
     return o.select("o_orderkey", L.hex_to_dec(F.concat(F.lit("0x" + "f" * 56), low)).alias("near_max"))
 
@@ -79,7 +80,7 @@ def _event_data(o):
   select o_orderkey, 2 as n_words, printf('%064x', o_orderkey) as word_0, printf('%064x', o_custkey) as word_1
   from orders""")
 def fn_split_words(spark, sf):
-    o = _event_data(table(spark, sf, "orders")).withColumn("w", L.words64("data"))
+    o = _event_data(spread(table(spark, sf, "orders"), "o_orderkey")).withColumn("w", L.words64("data"))
     return o.select("o_orderkey", F.size("w").alias("n_words"), L.at("w", 0).alias("word_0"),
                     L.at("w", 1).alias("word_1"))
 
@@ -88,7 +89,7 @@ def fn_split_words(spark, sf):
   select o_orderkey, printf('0x%040x', o_custkey) as from_word, printf('0x%040x', o_orderkey) as from_topic
   from orders""")
 def fn_word_to_address(spark, sf):
-    o = _event_data(table(spark, sf, "orders"))
+    o = _event_data(spread(table(spark, sf, "orders"), "o_orderkey"))
     return o.select("o_orderkey", L.word_address(L.at(L.words64("data"), 1)).alias("from_word"),
                     L.word_address(hex_of("o_orderkey", 64), 27).alias("from_topic"))
 
@@ -101,7 +102,7 @@ def fn_abi_dynamic_array(spark, sf):
     word = lambda c: F.lpad(F.lower(F.hex(c)), 64, "0")
     items = F.array_join(F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1),
                                      lambda i: word(F.col("o_custkey") + i)), "")
-    o = table(spark, sf, "orders").withColumn(
+    o = spread(table(spark, sf, "orders"), "o_orderkey").withColumn(
         "data", F.concat(F.lit("0x"), word(F.lit(32)), word(n), items, word(F.lit(7))))
     return o.select("o_orderkey", F.posexplode(L.abi_array(L.words64("data"))).alias("idx", "word")) \
         .withColumn("idx", F.col("idx").cast("bigint"))

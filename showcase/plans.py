@@ -5,6 +5,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.groups import keep
 from ledgerloom.operators.incremental import Run
 from ledgerloom.plans import gold as G, ingest as I, silver as S
 from . import chain
@@ -31,7 +32,8 @@ def logs(spark, sf):
 
 
 def traces(spark, sf):
-    return S.silver_traces(chain.landed_traces(spark, sf), None, RUN)
+    """The silver traces as a table: what reads them reads them more than once."""
+    return keep(S.silver_traces(chain.landed_traces(spark, sf), None, RUN))
 
 
 BLOCKS_SQL = f"""
@@ -163,9 +165,9 @@ NODES_SQL = f"""
 def silver_traces(spark, sf):
     j = lambda k: F.try_element_at("trace_json", F.lit(k))
     depth = F.when(F.col("trace_address") == "ORIGIN", 0).otherwise(F.size("trace_address_array"))
-    return traces(spark, sf).select("block_number", "tx_position", "trace_address", "parent_trace_address",
-                                    depth.alias("depth"), j("type").alias("type"), j("value").alias("value_hex"),
-                                    j("error").alias("error"))
+    return S.silver_traces(chain.landed_traces(spark, sf), None, RUN).select(
+        "block_number", "tx_position", "trace_address", "parent_trace_address", depth.alias("depth"), j("type").alias("type"), j("value").alias("value_hex"),
+        j("error").alias("error"))
 
 
 @query("gold_traces", f"""
