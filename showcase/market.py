@@ -73,13 +73,12 @@ def js(**fields) -> Column:
 
 
 def event(when, index, name, contract, decoded=None, full=None, topics=None, data=None) -> Column:
-    """One event, dropped again where ``when`` does not hold."""
+    """One event, or null (and not computed) where ``when`` does not hold."""
     lit = lambda v, t="string": (v if isinstance(v, Column) else F.lit(v)).cast(t)
-    return F.struct(when.alias("_on"), lit(index, "bigint").alias("event_index"), lit(name).alias("event_name"),
-                    lit(contract).alias("contract_address"), lit(decoded).alias("decoded_log"),
-                    lit(full).alias("full_decoded_log"),
-                    (topics if topics is not None else F.lit(None)).cast("array<string>").alias("topics"),
-                    lit(data).alias("data"))
+    return F.when(when, F.struct(
+        lit(index, "bigint").alias("event_index"), lit(name).alias("event_name"), lit(contract).alias("contract_address"),
+        lit(decoded).alias("decoded_log"), lit(full).alias("full_decoded_log"),
+        (topics if topics is not None else F.lit(None)).cast("array<string>").alias("topics"), lit(data).alias("data")))
 
 
 def events(df: DataFrame, *groups: Column) -> DataFrame:
@@ -87,9 +86,9 @@ def events(df: DataFrame, *groups: Column) -> DataFrame:
     own = ["block_number", "block_timestamp", "tx_hash", "modified_timestamp"]
     ev = df.select(*own, addr("o_custkey").alias("origin_from_address"), F.lit("0x01").alias("origin_to_address"),
                    F.lit("0xa9059cbb").alias("origin_function_signature"), F.lit(True).alias("tx_succeeded"),
-                   F.inline(F.filter(F.concat(*groups), lambda e: e["_on"])))
+                   F.inline(F.filter(F.concat(*groups), lambda e: e.isNotNull())))
     # the plans read these rows from a table, several times; so does this
-    return keep(ev.drop("_on"))
+    return keep(ev)
 
 
 def repeat(n, make) -> Column:
