@@ -25,17 +25,17 @@ def sequence_gaps(df: DataFrame, c: str, part=(), where=None, width: int = 100_0
     compared in many tasks; each range passes only its ends to the next.
     """
     part = names(part)
-    d = _where(df, where).filter(F.col(c).isNotNull()).withColumn("_range", F.floor(F.col(c) / width).cast("bigint"))
-    inner = prev_value(d.select(*part, "_range", c), c, [*part, "_range"], [c], "_prev", max_rows=None)
-    ends = d.groupBy(*part, "_range").agg(F.max(c).alias("_end"))
-    before = prev_value(ends, "_end", part, ["_range"], "_before").select(*part, "_range", "_before")
-    both = inner.alias("i").join(
-        before.alias("b"), _keys_equal("i", "b", [*part, "_range"]), "left")
-    prev = F.coalesce("_prev", "_before")
-    return (both.withColumn("previous_value", prev).filter(F.col(c) - F.col("previous_value") > 1)
-                .select(*[F.col("i." + p) for p in part], F.col("previous_value"),
-                        F.col(c).alias("current_value"),
-                        (F.col(c) - F.col("previous_value") - 1).alias("missing")).distinct())
+    one = [*part, "_all"]
+    d = (_where(df, where).filter(F.col(c).isNotNull()).select(*part, c).distinct()
+         .withColumns({"_all": F.lit(0), "_range": F.floor(F.col(c) / width).cast("bigint")}))
+    inner = prev_value(d, c, [*one, "_range"], [c], "_prev", max_rows=None)  # at most ``width`` rows per group
+    ends = d.groupBy(*one, "_range").agg(F.max(c).alias("_end"))
+    before = prev_value(ends, "_end", one, ["_range"], "_before").select(*part, "_range", "_before")
+    both = inner.alias("i").join(before.alias("b"), _keys_equal("i", "b", [*part, "_range"]), "left")
+    return (both.withColumn("previous_value", F.coalesce("_prev", "_before"))
+                .filter(F.col(c) - F.col("previous_value") > 1)
+                .select(*[F.col("i." + p) for p in part], F.col("previous_value"), F.col(c).alias("current_value"),
+                        (F.col(c) - F.col("previous_value") - 1).alias("missing")))
 
 
 def _keys_equal(a: str, b: str, keys) -> Column:

@@ -7,7 +7,7 @@ a batch touches.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..columns import names
 from ..operators.groups import keep
@@ -68,11 +68,18 @@ def range_pruned_merge(target: DataFrame, batch: DataFrame, keys, range_col: str
     return outside.unionByName(merge_upsert(target.filter(within), batch, keys))
 
 
+def _layout(df: DataFrame, order: list[str]) -> DataFrame:
+    """Rows in ranges of ``order``, sorted inside. A hash of the row comes last
+    in the ranges, so that one value holding many rows still spreads over
+    several tasks."""
+    plain = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return (df.withColumn("_spread", F.xxhash64(*plain)).repartitionByRange(*order, "_spread")
+              .drop("_spread").sortWithinPartitions(*order))
+
+
 def clustered(df: DataFrame, exprs: dict[str, Column], sort=()) -> DataFrame:
-    """Rows laid out by cluster columns: ranges per task, sorted inside."""
-    out = df.withColumns(exprs)
-    order = [*exprs, *names(sort)]
-    return out.repartitionByRange(*order).sortWithinPartitions(*order)
+    """Rows laid out by cluster columns."""
+    return _layout(df.withColumns(exprs), [*exprs, *names(sort)])
 
 
 def write_clustered(df: DataFrame, path: str, exprs: dict[str, Column], sort=(), mode: str = "overwrite") -> None:
@@ -115,9 +122,7 @@ def upsert_table(batch: DataFrame, path: str, keys, partition: dict[str, Column]
             new = delete_insert(near, batch, keys)
     else:
         new = batch
-    order = [*partition, *names(sort)]
-    (new.repartitionByRange(*order).sortWithinPartitions(*order)
+    (_layout(new, [*partition, *(names(sort) or names(keys))])
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition).parquet(path))
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().nonEmpty():
-        batch.unpersist()
+    batch.unpersist()
