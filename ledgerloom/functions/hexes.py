@@ -18,7 +18,7 @@ def _digits(c: str | Column) -> Column:
 
 def _is_hex(c: str | Column, h: Column) -> Column:
     """Something besides the prefix, and hex digits only."""
-    return F.unhex(h).isNotNull() & ~F.lower(col(c)).isin("", "0x")
+    return F.unhex(h).isNotNull() & ~col(c).isin("", "0x", "0X")
 
 
 def _bind(value: Column, use) -> Column:

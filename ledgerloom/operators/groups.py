@@ -50,15 +50,35 @@ def hot_groups(df: DataFrame, part: list[str], max_rows: int) -> list:
               .orderBy(F.desc("_n")).limit(MAX_CUT_GROUPS).collect())
 
 
+def as_number(df: DataFrame, c: Column) -> Column:
+    """A number that never decreases where the value does not: what a group is
+    cut by. Text goes by its first seven bytes, an array by its first element."""
+    t = df.select(c.alias("c")).schema["c"].dataType
+    if isinstance(t, T.NumericType):
+        return c.cast("double")
+    if isinstance(t, (T.TimestampNTZType, T.TimestampType)):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast(t), c).cast("double")
+    if isinstance(t, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        head = F.hex(F.substring(c.cast("binary"), 1, 7))
+        return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("double")
+    if isinstance(t, T.BooleanType):
+        return c.cast("int").cast("double")
+    if isinstance(t, T.ArrayType):
+        return as_number(df, F.get(c, F.lit(0)))
+    raise ValueError(f"give split_by: groups cannot be cut by a {t.simpleString()}")
+
+
 def with_chunks(df: DataFrame, part, split_by: Column,
                 max_rows: int | None = MAX_GROUP_ROWS) -> tuple[DataFrame, bool]:
     """Add the piece number of each row if any group needs cutting, and say so.
 
-    ``split_by`` is numeric and never decreases along the window order, so a
-    piece is a run of consecutive rows. ``max_rows=None`` skips detection, for
+    ``split_by`` never decreases along the window order, so a piece is a run of
+    consecutive rows. ``max_rows=None`` skips detection, for
     groups with a bound of their own.
     """
-    part = names(part)
+    part, split_by = names(part), as_number(df, split_by)
     if max_rows is None or (max_rows >= MAX_GROUP_ROWS and plan_bytes(df) <= SMALL_BYTES):
         return df, False
     hot = hot_groups(df, part, max_rows)
@@ -73,14 +93,14 @@ def with_chunks(df: DataFrame, part, split_by: Column,
     same = lambda a, b: _all(a[p].eqNullSafe(b[p]) for p in part)
     cuts = (df.join(F.broadcast(keys), same(df, keys), "left_semi")
               .groupBy(*part)
-              .agg(F.percentile_approx(split_by.cast("double"), share, 1_000).alias("_cuts"))
+              .agg(F.percentile_approx(split_by, share, 1_000).alias("_cuts"))
               .collect())
     table = df.sparkSession.createDataFrame(
         [tuple(r[p] for p in part) + (r["_cuts"],) for r in cuts],
         T.StructType([T.StructField("_k%d" % i, f.dataType) for i, f in enumerate(fields)]
                      + [T.StructField("_cuts", T.ArrayType(T.DoubleType()))]))
     on = _all(df[p].eqNullSafe(table["_k%d" % i]) for i, p in enumerate(part))
-    below = F.size(F.filter(F.col("_cuts"), lambda c: c < split_by.cast("double")))
+    below = F.size(F.filter(F.col("_cuts"), lambda c: c < split_by))
     out = (df.join(F.broadcast(table), on, "left")
              .withColumn(CHUNK, F.when(F.col("_cuts").isNull(), F.lit(0))
                                  .when(split_by.isNull(), F.lit(-1)).otherwise(below))

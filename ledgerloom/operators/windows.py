@@ -82,7 +82,9 @@ def drop_largest(df: DataFrame, part, amount: str, tie) -> DataFrame:
 # -- ordered calculations ----------------------------------------------------
 
 def _split(df, part, order, split_by, max_rows):
-    by = col(split_by) if split_by is not None else col(order[0])
+    if split_by is None and not isinstance(order[0], str):
+        raise ValueError("give split_by where the order does not start with an ascending column")
+    by = col(split_by if split_by is not None else order[0])
     return with_chunks(df, part, by, max_rows)
 
 

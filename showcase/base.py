@@ -1,6 +1,8 @@
 """Query registration and table access."""
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,3 +19,10 @@ def query(name: str, sql: str | None = None):
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder all executors can reach: inside the session's checkpoint
+    folder, or a temporary one where none is set (local runs)."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return f"{root.rstrip('/')}/{uuid.uuid4()}" if root else tempfile.mkdtemp()

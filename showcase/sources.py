@@ -6,11 +6,14 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import incremental as I
-from ledgerloom.sources import aggregator_rows, clustered, delete_insert, evolve, literal, merge_upsert, range_pruned_merge
+from ledgerloom import functions as L
+from ledgerloom.sources import (aggregator_rows, clustered, delete_insert, evolve, literal, merge_upsert,
+                                range_pruned_merge, read_table, upsert_table)
 from ledgerloom.sources.landed import partition_number, read_landed
 from ledgerloom.sources.constants import FEE_WALLETS
+from ledgerloom.streaming import run_stream
 from . import chain
-from .base import query, table
+from .base import query, shared_folder, table
 from .chain import BLOCK_SQL, TX_SQL
 
 
@@ -119,7 +122,6 @@ def sink_range_pruned_merge(spark, sf):
 @query("sink_clustered", """
   select o_orderkey, cast(round(o_orderkey, -3) as bigint) as bucket, cast(o_orderdate as date) as day from orders""")
 def sink_clustered(spark, sf):
-    from ledgerloom import functions as L
     out = clustered(table(spark, sf, "orders"), {"bucket": L.bucket_1000("o_orderkey")}, ["o_orderkey"])
     return out.select("o_orderkey", "bucket", F.to_date("o_orderdate").alias("day"))
 
@@ -131,3 +133,30 @@ def sink_append_new_columns(spark, sf):
     li = table(spark, sf, "lineitem")
     return evolve(li.filter(OLD).select("l_orderkey", "l_quantity", F.lit("old").alias("side")),
                   li.filter(NEW).select("l_orderkey", "l_quantity", "l_tax"))
+
+
+@query("sink_delete_insert_table", f"""
+  select l_orderkey, l_linenumber, l_partkey, l_quantity from lineitem where {NEW}
+  union all select l_orderkey, l_linenumber, l_partkey, l_quantity from lineitem
+  where {OLD} and l_orderkey not in (select l_orderkey from lineitem where {NEW})""")
+def sink_delete_insert_table(spark, sf):
+    """The same update on a partitioned table: two writes, then a read."""
+    path, cols = f"{shared_folder(spark)}/lines", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]
+    for part in halves(spark, sf):
+        upsert_table(part.select(*cols), path, "l_orderkey", {"bucket": L.bucket_1000("l_orderkey")})
+    return read_table(spark, path).select(*cols)
+
+
+@query("stream_micro_batch", """
+  select event_id, user_id, event_type, cast(json_extract_string(props, '$.k') as bigint) as k from events""")
+def stream_micro_batch(spark, sf):
+    """Landed event files as a stream into a table, run twice: the second run
+    finds nothing new."""
+    folder = shared_folder(spark)
+    schema = table(spark, sf, "events").schema
+    for _ in range(2):
+        run_stream(spark, f"{sf}/event*.parquet", schema,
+                   lambda b: b.select("event_id", "user_id", "event_type", L.jget("props", "$.k", "bigint").alias("k")),
+                   lambda b: upsert_table(b, f"{folder}/table", "event_id", {"bucket": L.bucket_1000("event_id")}),
+                   f"{folder}/progress")
+    return read_table(spark, f"{folder}/table").drop("bucket")

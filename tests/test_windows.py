@@ -107,3 +107,22 @@ def test_tree_failure_is_inherited(spark, max_rows):
         seen = sorted([(r.trace_index, r.trace_address) for r in order.filter(f"tx = {tx}").collect()])
         key = lambda p: [-1] if p == "ORIGIN" else [int(x) for x in p.split("_")]
         assert [p for _, p in seen] == sorted([p for t, p, _ in rows if t == tx], key=key)
+
+
+@pytest.mark.parametrize("key", ["cast(i as double) / 7", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, i)",
+                                 "timestamp '2024-01-01' + make_dt_interval(0, 0, i)", "date '2024-01-01' + i",
+                                 "lpad(cast(i as string), 9, 'x')", "array(i, 1)"])
+def test_groups_are_cut_by_any_ordered_column(df, rows, key):
+    from ledgerloom.operators.groups import with_chunks
+    d = df.withColumn("o", F.expr(key))
+    cut, found = with_chunks(d, "k", F.col("o"), 100)
+    sizes = [r["count"] for r in cut.filter("k = 'hot'").groupBy("_chunk").count().collect()]
+    assert found and max(sizes) < 200
+    got = {(r.k, r.i): r.n for r in W.ordinal(d, "k", ["o"], "n", max_rows=100).collect()}
+    assert got == {(k, i): p + 1 for k, g in brute(rows).items() for p, (_, i, _, _) in enumerate(g)}
+
+
+def test_descending_order_needs_a_split(df):
+    with pytest.raises(ValueError):
+        W.ordinal(df, "k", [F.desc("i")])
+    assert W.ordinal(df, "k", [F.desc("i")], "n", split_by=-F.col("i"), max_rows=100).filter("n = 1 and k = 'hot'").first().i == 2997
