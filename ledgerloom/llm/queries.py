@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe
+from . import bpe, simhash
 from .common import prepare, table
 
 QUERIES: dict = {}
@@ -30,3 +30,10 @@ def op1(spark, folder):
     return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(bpe.joined_ids("ids"), 256).alias("ids_sha256"),
                       F.sha2(bpe.decode("ids", path, pattern), 256).alias("decoded_sha256"))
+
+
+@query("op3_simhash")
+def op3(spark, folder):
+    """Fingerprint and near-duplicate component of every document."""
+    out = simhash.near_duplicates(table(spark, folder, "documents"))
+    return out.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
