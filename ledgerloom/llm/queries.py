@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, simhash
+from . import bpe, lines, simhash
 from .common import prepare, table
 
 QUERIES: dict = {}
@@ -37,3 +37,23 @@ def op3(spark, folder):
     """Fingerprint and near-duplicate component of every document."""
     out = simhash.near_duplicates(table(spark, folder, "documents"))
     return out.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
+
+
+_LINE_SQL = r"""
+with docs as (select doc_id, coalesce(text, '') as text, row_number() over () as r from documents),
+split as (select r, doc_id, unnest(string_split(text, chr(10))) as line,
+                 generate_subscripts(string_split(text, chr(10)), 1) as i from docs),
+keyed as (select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k from split),
+common as (select k, max(doc_id) as keeper from keyed where length(k) >= 40 group by k having count(distinct doc_id) >= 5),
+marked as (select s.*, c.k is not null and s.doc_id is distinct from c.keeper as lost from keyed s left join common c on s.k = c.k)
+select doc_id, count(*) as n_lines, count(*) filter (lost) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by i) filter (not lost), '')) as kept_sha256
+from marked group by r, doc_id"""
+
+
+@query("op5_line_dedup", _LINE_SQL)
+def op5(spark, folder):
+    """Every text without lines that many documents share."""
+    out = lines.dedup_lines(table(spark, folder, "documents"), into="l")
+    return out.select("doc_id", "l.n_lines", "l.n_dropped", F.sha2("l.kept", 256).alias("kept_sha256"))
