@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, lines, simhash
+from . import bpe, lines, packing, simhash
 from .common import prepare, table
 
 QUERIES: dict = {}
@@ -57,3 +57,9 @@ def op5(spark, folder):
     """Every text without lines that many documents share."""
     out = lines.dedup_lines(table(spark, folder, "documents"), into="l")
     return out.select("doc_id", "l.n_lines", "l.n_dropped", F.sha2("l.kept", 256).alias("kept_sha256"))
+
+
+@query("op8_packing")
+def op8(spark, folder):
+    """Pieces of every document in windows of 4096 tokens."""
+    return packing.packed(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
