@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -98,7 +99,12 @@ class Codec:
         for word, rank in ranks.items():
             letters[self.starts[rank]:self.starts[rank] + len(word)] = word
         self.letters = np.frombuffer(bytes(letters), np.uint8)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Start the memory of runs anew: ``known`` numbers them, their ids lie one after the other in ``flat``."""
+        self.known: dict[str, int] = {}
+        self.begin, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
 
     def merge(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of each piece, merged in matrices of pieces of like length."""
@@ -174,19 +180,23 @@ class Codec:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's begin."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self._forget()
         split = [self._runs(t) for t in texts]
-        missing = list({r for runs in split for r in runs if r not in self.known})
-        found = [[p.encode("utf-8", "surrogatepass") for p in self.find(r)] for r in missing]
-        pieces = list({p for ps in found for p in ps})
-        ids = dict(zip(pieces, self.merge(pieces)))
-        known = self.known
-        for r, ps in zip(missing, found):
-            known[r] = tuple(i for p in ps for i in ids[p])
-        lists = [[i for r in runs for i in known[r]] for runs in split]
-        starts = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
-        flat = np.fromiter((i for x in lists for i in x), np.int32, int(starts[-1]))
-        return flat, starts
+        runs = list(chain.from_iterable(split))
+        missing = list(set(runs).difference(self.known))
+        if missing:
+            found = [[p.encode("utf-8", "surrogatepass") for p in self.find(r)] for r in missing]
+            pieces = list(set(chain.from_iterable(found)))
+            ids = dict(zip(pieces, self.merge(pieces)))
+            new = [[i for p in ps for i in ids[p]] for ps in found]
+            self.known.update(zip(missing, range(len(self.known), len(self.known) + len(new))))
+            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(x) for x in new])])
+            self.flat = np.concatenate([self.flat, np.array(list(chain.from_iterable(new)), np.int32)])
+        at = np.fromiter(map(self.known.__getitem__, runs), np.int64, len(runs))
+        sizes = self.begin[at + 1] - self.begin[at]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        flat = self.flat[np.repeat(self.begin[at] - ends[:-1], sizes) + np.arange(ends[-1])]
+        return flat, ends[np.concatenate([[0], np.cumsum([len(r) for r in split], dtype=np.int64)])]
 
     _odd = regex.compile(r" \s|\s |^\s|\s$").search
 
