@@ -67,3 +67,11 @@ def text_bytes(c: str | Column) -> Column:
 def remainder(c: str | Column, m: int) -> Column:
     """crc32 of an id written as decimal text, modulo ``m``; null for a null id."""
     return (F.crc32((F.col(c) if isinstance(c, str) else c).cast("string").cast("binary")) % m).cast("int")
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import text_bytes, written
+from .common import text_bytes, unused, written
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -187,10 +187,10 @@ def without_lines(text: str | Column, keys: str) -> Column:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", into: str = "_lines",
                 min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` with the struct column ``into``: kept (bytes), n_lines, n_dropped."""
+    id_, keys = unused(docs, "_lost_id"), unused(docs, "_lost_keys")
     lost = written(dropped_keys(docs, id_col, text_col, min_chars, min_docs)
-                   .select(F.col("id").alias("_lost_id"), F.col("keys").alias("_lost_keys")))
-    n = lost.agg(F.sum(F.aggregate("_lost_keys", F.lit(0), lambda a, k: a + F.length(k) + 24) + 24)).first()[0] or 0
+                   .select(F.col("id").alias(id_), F.col("keys").alias(keys)))
+    n = lost.agg(F.sum(F.aggregate(keys, F.lit(0), lambda a, k: a + F.length(k) + 24) + 24)).first()[0] or 0
     side = F.broadcast(lost) if n <= BROADCAST_BYTES else lost.hint("shuffle_hash")
-    same = docs[id_col].eqNullSafe(lost["_lost_id"])
-    return (docs.join(side, same, "left")
-            .withColumn(into, without_lines(text_col, "_lost_keys")).drop("_lost_id", "_lost_keys"))
+    return (docs.join(side, docs[id_col].eqNullSafe(lost[id_]), "left")
+            .withColumn(into, without_lines(text_col, keys)).drop(id_, keys))

@@ -4,8 +4,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, lines, packing, simhash
-from .common import prepare, table
+from . import bpe, langid, lines, packing, quality, simhash
+from .common import prepare, remainder, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -32,6 +32,15 @@ def op1(spark, folder):
                       F.sha2(bpe.decode("ids", path, pattern), 256).alias("decoded_sha256"))
 
 
+@query("op2_language")
+def op2(spark, folder):
+    """Predicted language of every text; a quarter of the documents is never learned from."""
+    docs = table(spark, folder, "documents")
+    model = langid.train(docs.filter(remainder("doc_id", 4) != 2))
+    out = langid.identify(docs, model, into="l")
+    return out.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "l.lang_pred", "l.score")
+
+
 @query("op3_simhash")
 def op3(spark, folder):
     """Fingerprint and near-duplicate component of every document."""
@@ -59,6 +68,15 @@ def op5(spark, folder):
     return out.select("doc_id", "l.n_lines", "l.n_dropped", F.sha2("l.kept", 256).alias("kept_sha256"))
 
 
+@query("op7_quality")
+def op7(spark, folder):
+    """Quality of every text; a fifth of the documents is never learned from."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = quality.train(docs, labels.filter(remainder("doc_id", 5) != 0))
+    out = docs.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), quality.scorer(spark, model)("text").alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @query("op8_packing")
 def op8(spark, folder):
     """Pieces of every document in windows of 4096 tokens."""

@@ -26,9 +26,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .common import text_bytes, written
+from .common import text_bytes, unused, written
 from .graph import components
 
 MAX_DISTANCE = 3
@@ -195,3 +195,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = named.groupBy("root").agg(F.min("low").alias("component_id"))
     return (own.join(named.select("fp", "root").join(least, "root"), "fp")
             .select(F.col("id").alias(id_col), "fp", "root", "component_id"))
+
+
+def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of each component, one row of each component."""
+    members = written(near_duplicates(docs, id_col, text_col, max_bucket).select(F.col(id_col).alias("id"), "fp", "root"))
+    id_, fp, own, row = (unused(docs, c) for c in ("_keep_id", "_keep_fp", "_own_fp", "_row"))
+    first = (members.groupBy("root").agg(F.min(F.struct(F.isnull("id").alias("none"), "id", "fp")).alias("k"))
+             .select(F.col("k.id").alias(id_), F.col("k.fp").alias(fp)))
+    kept = docs.join(first.hint("shuffle_hash"), docs[id_col].eqNullSafe(first[id_]))
+    if members.groupBy("id").count().filter("count > 1").limit(1).count():  # ids that repeat: tell their rows by fingerprint
+        w = Window.partitionBy(id_, fp).orderBy(F.col(text_col))
+        kept = (kept.withColumn(own, fingerprint(text_col)).filter(F.col(own) == F.col(fp))
+                .withColumn(row, F.row_number().over(w)).filter(F.col(row) == 1).drop(own, row))
+    return kept.drop(id_, fp)
