@@ -156,8 +156,9 @@ def dropped_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     bits = min(MAX_BITS, max(MIN_BITS, 1 << int(np.ceil(np.log2(max(1, 2 * n))))))
     filter_ = twice_seen(own.select("text"), bits, min_chars)
     pairs = written(suspects(own, filter_, own.schema["id"].dataType, min_chars))
-    common = (pairs.groupBy("key").agg(F.countDistinct("id").alias("n"), F.max("id").alias("keeper"))
-              .filter(F.col("n") >= min_docs).select("key", "keeper"))
+    # written, so that the join below reads it straight from a shuffle or a scan and common keys can be split
+    common = written(pairs.groupBy("key").agg(F.countDistinct("id").alias("n"), F.max("id").alias("keeper"))
+                     .filter(F.col("n") >= min_docs).select("key", "keeper"))
     lost = pairs.join(common, "key").filter(~F.col("id").eqNullSafe(F.col("keeper")))
     return lost.groupBy("id").agg(F.collect_set("key").alias("keys"))
 
