@@ -4,7 +4,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, langid, lines, packing, quality, simhash
+from . import bpe, langid, licenses, lines, packing, quality, simhash
+from .license_texts import NOTICES
 from .common import prepare, remainder, table
 
 QUERIES: dict = {}
@@ -48,6 +49,30 @@ def op3(spark, folder):
     return out.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
 
 
+_NOTICE_ROWS = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in NOTICES.items())
+_NOTICE_SQL = rf"""
+with notices(notice, text) as (values {_NOTICE_ROWS}),
+notice_words as (select notice, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') as w from notices),
+sized as (select *, least(5, len(w)) as k from notice_words),
+wanted as (select distinct notice, k, array_to_string(w[i:i + k - 1], ' ') as s
+           from (select notice, k, w, unnest(range(1, len(w) - k + 2)) as i from sized)),
+words as (select row_number() over () as r, doc_id,
+                 list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') as w from documents),
+sizes as (select distinct k from sized),
+held as (select distinct r, doc_id, k, array_to_string(w[i:i + k - 1], ' ') as s
+         from (select r, doc_id, w, k, unnest(range(1, len(w) - k + 2)) as i from words cross join sizes where len(w) >= k)),
+found as (select h.r, h.doc_id, n.notice, count(*) as n_found from held h join wanted n on h.k = n.k and h.s = n.s group by all),
+total as (select notice, count(*) as n_shingles from wanted group by notice)
+select doc_id, notice, n_shingles::int as n_shingles, n_found::int as n_found, n_found / n_shingles as containment
+from found join total using (notice) where n_found / n_shingles >= 0.8"""
+
+
+@query("op4_license_scan", _NOTICE_SQL)
+def op4(spark, folder):
+    """The licence notices in every text."""
+    return licenses.scan(table(spark, folder, "documents"), NOTICES)
+
+
 _LINE_SQL = r"""
 with docs as (select doc_id, coalesce(text, '') as text, row_number() over () as r from documents),
 split as (select r, doc_id, unnest(string_split(text, chr(10))) as line,
