@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, langid, licenses, lines, packing, quality, simhash
+from . import bpe, caps, langid, licenses, lines, packing, quality, simhash
 from .license_texts import NOTICES
 from .common import prepare, remainder, table
 
@@ -93,6 +93,12 @@ def op5(spark, folder):
     return out.select("doc_id", "l.n_lines", "l.n_dropped", F.sha2("l.kept", 256).alias("kept_sha256"))
 
 
+@query("op6_embedding_caps")
+def op6(spark, folder):
+    """Links and component of every vector."""
+    return caps.near_duplicates(table(spark, folder, "embeddings"))
+
+
 @query("op7_quality")
 def op7(spark, folder):
     """Quality of every text; a fifth of the documents is never learned from."""
