@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, caps, langid, licenses, lines, packing, quality, simhash
+from . import bpe, caps, langid, licenses, lines, packing, quality, simhash, topk
 from .license_texts import NOTICES
 from .common import prepare, remainder, table
 
@@ -112,3 +112,19 @@ def op7(spark, folder):
 def op8(spark, folder):
     """Pieces of every document in windows of 4096 tokens."""
     return packing.packed(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+_TOP_SQL = """
+with v as (select vec_id, row_number() over () as r, list_transform(embedding, lambda x: floor(64 * x::double)) as x from embeddings
+           where vec_id is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.x, c.x)::bigint as score
+          from v q join v c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id)
+select query_id, rank::int as rank, vec_id, score from
+  (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from pairs) where rank <= 20"""
+
+
+@query("op9_exact_top_k", _TOP_SQL)
+def op9(spark, folder):
+    """The 20 best inner products of every twentieth vector with all others."""
+    return topk.top_k(table(spark, folder, "embeddings"))
