@@ -13,9 +13,10 @@ Sequence ids are unique, and the same for the same pieces.
 """
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from .common import text_bytes, written
 CAPACITY = 4_096
 SHARD_PIECES = 100_000
 #: Distinct words a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_500_000
 #: Marks that a word's end can be split off by: the pre-tokenizer always cuts between them and a letter.
 _MARKS = b".,!|$%&#*?;:()"
 _ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
@@ -41,6 +42,7 @@ class Words:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self._forget()
@@ -49,27 +51,39 @@ class Words:
         self.known: dict[bytes, int] = {}
         self.begin, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
 
-    def _add(self, words: list[bytes], ids: list[list[int]]) -> None:
+    def _add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
-        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(x) for x in ids], dtype=np.int64)])
-        self.flat = np.concatenate([self.flat, np.array(list(chain.from_iterable(ids)), np.int32)])
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
+        self.flat = np.concatenate([self.flat, ids])
 
-    def _ids(self, word: bytes) -> list[int]:
-        k = self.known[word]
-        return self.flat[self.begin[k]:self.begin[k + 1]].tolist()
+    def _places(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
+    def _ids(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words at these places, one after the other, and how many each has."""
+        sizes = self.begin[at + 1] - self.begin[at]
+        ends = np.cumsum(sizes)
+        return self.flat[np.repeat(self.begin[at] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)], sizes
 
     def _learn(self, words: list[bytes]) -> None:
-        cut = {}
+        plain, whole, stems, marks = set(), [], [], []
         for w in words:
             stem = w.rstrip(_MARKS)
-            if stem and len(stem) < len(w) and stem[-1] in _ALNUM:
-                cut[w] = (stem, w[len(stem):])
-        plain = list({*chain.from_iterable(cut.values()), *(w for w in words if w not in cut)}.difference(self.known))
+            if len(stem) == len(w) or not stem or stem[-1] not in _ALNUM:
+                plain.add(w)
+            else:
+                whole.append(w)
+                stems.append(stem)
+                marks.append(w[len(stem):])
+        plain = list(plain.union(stems, marks).difference(self.known))
         if plain:
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in plain], add_special_tokens=False)
-            self._add(plain, [e.ids for e in found])
-        if cut:
-            self._add(list(cut), [self._ids(a) + self._ids(b) for a, b in cut.values()])
+            texts = [w.decode("utf-8", "replace") for w in plain]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            self._add(plain, np.array(list(chain.from_iterable(found)), np.int32), np.fromiter(map(len, found), np.int64, len(found)))
+        if whole:
+            pairs = np.stack([self._places(stems), self._places(marks)], axis=1).ravel()
+            ids, sizes = self._ids(pairs)
+            self._add(whole, ids, sizes.reshape(-1, 2).sum(axis=1))
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's begin."""
@@ -77,13 +91,14 @@ class Words:
             self._forget()
         split = [t.lower().split() for t in texts]
         words = list(chain.from_iterable(split))
-        missing = list(set(words).difference(self.known))
-        if missing:
-            self._learn(missing)
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        sizes = self.begin[at + 1] - self.begin[at]
+        at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            missing = [words[i] for i in new.tolist()]
+            self._learn(list(set(missing)))
+            at[new] = self._places(missing)
+        flat, sizes = self._ids(at)
         ends = np.concatenate([[0], np.cumsum(sizes)])
-        flat = self.flat[np.repeat(self.begin[at] - ends[:-1], sizes) + np.arange(ends[-1])]
         return flat, ends[np.concatenate([[0], np.cumsum([len(w) for w in split], dtype=np.int64)])]
 
 
