@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -183,21 +183,25 @@ class Codec:
             self._forget()
         split = [self._runs(t) for t in texts]
         runs = list(chain.from_iterable(split))
-        missing = list(set(runs).difference(self.known))
-        if missing:
-            found = [[p.encode("utf-8", "surrogatepass") for p in self.find(r)] for r in missing]
-            pieces = list(set(chain.from_iterable(found)))
-            ids = dict(zip(pieces, self.merge(pieces)))
-            new = [[i for p in ps for i in ids[p]] for ps in found]
-            self.known.update(zip(missing, range(len(self.known), len(self.known) + len(new))))
-            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(x) for x in new])])
-            self.flat = np.concatenate([self.flat, np.array(list(chain.from_iterable(new)), np.int32)])
-        at = np.fromiter(map(self.known.__getitem__, runs), np.int64, len(runs))
+        at = np.fromiter(map(self.known.get, runs, repeat(-1)), np.int64, len(runs))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            self._learn(list({runs[i] for i in new.tolist()}))
+            at[new] = np.fromiter((self.known[runs[i]] for i in new.tolist()), np.int64, len(new))
         sizes = self.begin[at + 1] - self.begin[at]
         ends = np.concatenate([[0], np.cumsum(sizes)])
         flat = self.flat[np.repeat(self.begin[at] - ends[:-1], sizes) + np.arange(ends[-1])]
         return flat, ends[np.concatenate([[0], np.cumsum([len(r) for r in split], dtype=np.int64)])]
 
+    def _learn(self, runs: list[str]) -> None:
+        found = [[p.encode("utf-8", "surrogatepass") for p in self.find(r)] for r in runs]
+        pieces = list(set(chain.from_iterable(found)))
+        ids = dict(zip(pieces, self.merge(pieces)))
+        new = [[i for p in ps for i in ids[p]] for ps in found]
+        self.known.update(zip(runs, range(len(self.known), len(self.known) + len(new))))
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(x) for x in new])])
+        self.flat = np.concatenate([self.flat, np.array(list(chain.from_iterable(new)), np.int32)])
+
     _odd = regex.compile(r" \s|\s |^\s|\s$").search
 
     def _runs(self, text: str) -> list[str]:
