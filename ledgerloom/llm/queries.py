@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, caps, langid, licenses, lines, packing, quality, simhash, topk
+from . import bpe, caps, ctw, langid, licenses, lines, packing, quality, simhash, topk
 from .license_texts import NOTICES
 from .common import prepare, remainder, table
 
@@ -128,3 +128,11 @@ select query_id, rank::int as rank, vec_id, score from
 def op9(spark, folder):
     """The 20 best inner products of every twentieth vector with all others."""
     return topk.top_k(table(spark, folder, "embeddings"))
+
+
+@query("op10_ctw_scores")
+def op10(spark, folder):
+    """Unigram and context-tree scores of every text; a fifth of the documents is never learned from."""
+    out = ctw.score(table(spark, folder, "documents"), remainder("doc_id", 5) != 1)
+    held = F.coalesce(remainder("doc_id", 5) == 1, F.lit(False)).alias("held_out")
+    return out.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
