@@ -12,8 +12,10 @@ _PIECE = 15          # hex digits per input piece: 60 bits, below one limb
 
 
 def _digits(c: str | Column) -> Column:
-    """Hex digits without 0x and leading zeros, behind one zero."""
-    return F.concat(F.lit("0"), F.ltrim(col(c), F.lit("0xX")))
+    """Hex digits without one 0x and without leading zeros, behind one zero."""
+    c = col(c)
+    bare = F.when(F.substring(c, 1, 2).isin("0x", "0X"), F.substr(c, F.lit(3))).otherwise(c)
+    return F.concat(F.lit("0"), F.ltrim(bare, F.lit("0")))
 
 
 def _is_hex(c: str | Column, h: Column) -> Column:

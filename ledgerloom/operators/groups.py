@@ -9,29 +9,15 @@ only how work is laid out, never what the result is.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..columns import col, names
 
 CHUNK = "_chunk"
 MAX_GROUP_ROWS = 5_000_000
-MAX_WAYS = 256
-MAX_CUT_GROUPS = 1_000
-SMALL_BYTES = 64 << 20
-BROADCAST_BYTES = 32 << 20
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Upper estimate of a result's size, from the optimizer's statistics."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint, only when the estimated size is within ``limit``."""
-    return F.broadcast(df) if plan_bytes(df) <= limit else df
-
-
-def keep(df: DataFrame, eager: bool = False) -> DataFrame:
+def keep(df: DataFrame) -> DataFrame:
     """Cut a reused result's lineage with a reliable checkpoint where the
     session has a shared checkpoint folder; otherwise hold it on disk."""
     sc = df.sparkSession.sparkContext
@@ -43,69 +29,32 @@ def keep(df: DataFrame, eager: bool = False) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def hot_groups(df: DataFrame, part: list[str], max_rows: int) -> list:
-    """The largest groups above ``max_rows``; a bounded number of rows."""
-    return (df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-              .filter(F.col("_n") > max_rows)
-              .orderBy(F.desc("_n")).limit(MAX_CUT_GROUPS).collect())
-
-
-def as_number(df: DataFrame, c: Column) -> Column:
-    """A number that never decreases where the value does not: what a group is
-    cut by. Text goes by its first seven bytes, an array by its first element."""
-    t = df.select(c.alias("c")).schema["c"].dataType
-    if isinstance(t, T.NumericType):
-        return c.cast("double")
-    if isinstance(t, (T.TimestampNTZType, T.TimestampType)):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast(t), c).cast("double")
-    if isinstance(t, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(t, (T.StringType, T.BinaryType)):
-        head = F.hex(F.substring(c.cast("binary"), 1, 7))
-        return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("double")
-    if isinstance(t, T.BooleanType):
-        return c.cast("int").cast("double")
-    if isinstance(t, T.ArrayType):
-        return as_number(df, F.get(c, F.lit(0)))
-    raise ValueError(f"give split_by: groups cannot be cut by a {t.simpleString()}")
-
-
-def with_chunks(df: DataFrame, part, split_by: Column,
-                max_rows: int | None = MAX_GROUP_ROWS) -> tuple[DataFrame, bool]:
+def with_chunks(df: DataFrame, part, split_by, max_rows: int | None = MAX_GROUP_ROWS) -> tuple[DataFrame, bool]:
     """Add the piece number of each row if any group needs cutting, and say so.
 
-    ``split_by`` never decreases along the window order, so a piece is a run of
-    consecutive rows. ``max_rows=None`` skips detection, for
-    groups with a bound of their own.
+    ``split_by`` is a column, or columns, that never decrease along the window
+    order (nulls first). The rows of all groups above ``max_rows`` are dealt by
+    ranges of group and ``split_by``, of about half that many rows each; a range
+    is a piece. Any number of groups, any size and any orderable type will do;
+    only rows equal in ``split_by`` stay together. The cut rows are kept, so that
+    whoever reads them sees the same pieces. ``max_rows=None`` skips detection,
+    for groups with a bound of their own.
     """
-    part, split_by = names(part), as_number(df, split_by)
-    if max_rows is None or (max_rows >= MAX_GROUP_ROWS and plan_bytes(df) <= SMALL_BYTES):
+    part = names(part)
+    by = [col(c) for c in (split_by if isinstance(split_by, (list, tuple)) else [split_by])]
+    if max_rows is None:
         return df, False
-    hot = hot_groups(df, part, max_rows)
-    if not hot:
+    hot = keep(df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows))
+    total = hot.agg(F.sum("_n")).first()[0]
+    if not total:
         return df, False
-
-    ways = min(MAX_WAYS, max(2, -(-2 * max(r["_n"] for r in hot) // max_rows)))
-    share = [i / ways for i in range(1, ways)]
-    fields = [df.schema[p] for p in part]
-    keys = df.sparkSession.createDataFrame(
-        [tuple(r[p] for p in part) for r in hot], T.StructType(fields))
-    same = lambda a, b: _all(a[p].eqNullSafe(b[p]) for p in part)
-    cuts = (df.join(F.broadcast(keys), same(df, keys), "left_semi")
-              .groupBy(*part)
-              .agg(F.percentile_approx(split_by, share, 1_000).alias("_cuts"))
-              .collect())
-    table = df.sparkSession.createDataFrame(
-        [tuple(r[p] for p in part) + (r["_cuts"],) for r in cuts],
-        T.StructType([T.StructField("_k%d" % i, f.dataType) for i, f in enumerate(fields)]
-                     + [T.StructField("_cuts", T.ArrayType(T.DoubleType()))]))
-    on = _all(df[p].eqNullSafe(table["_k%d" % i]) for i, p in enumerate(part))
-    below = F.size(F.filter(F.col("_cuts"), lambda c: c < split_by))
-    out = (df.join(F.broadcast(table), on, "left")
-             .withColumn(CHUNK, F.when(F.col("_cuts").isNull(), F.lit(0))
-                                 .when(split_by.isNull(), F.lit(-1)).otherwise(below))
-             .drop("_cuts", *["_k%d" % i for i in range(len(part))]))
-    return out, True
+    keys = hot.select(*[F.col(p).alias(f"_k{i}") for i, p in enumerate(part)])
+    same = _all(df[p].eqNullSafe(keys[f"_k{i}"]) for i, p in enumerate(part))
+    ranges = -(-2 * total // max_rows)
+    cut = keep(df.join(keys, same, "left_semi").repartitionByRange(ranges, *[F.col(p) for p in part], *by)
+               .withColumn(CHUNK, F.spark_partition_id()))
+    rest = df.join(keys, same, "left_anti").withColumn(CHUNK, F.lit(0))
+    return rest.unionByName(cut), True
 
 
 def _all(conditions) -> Column:

@@ -71,10 +71,14 @@ def floor_days(src: DataFrame, ts: str, run_ts: dt.datetime, days: int) -> DataF
 
 
 def backfill_slice(src: DataFrame, target: DataFrame | None, c: str, back: int = 100_000,
-                   step: int = 2_000_000, first: int = 25_000_000) -> DataFrame:
-    """Bounded slice of history around the target's frontier."""
+                   step: int | None = None, first: int | None = None) -> DataFrame:
+    """History from ``back`` before the target's frontier on. Without bounds that is all of it;
+    ``step`` limits how far past the frontier one run goes, ``first`` how far the first run goes."""
     top = high_water(target, c)
-    return src.filter(F.col(c) <= first) if top is None else src.filter(F.col(c).between(top - back, top + step))
+    if top is None:
+        return src if first is None else src.filter(F.col(c) <= first)
+    near = src.filter(F.col(c) >= top - back)
+    return near if step is None else near.filter(F.col(c) <= top + step)
 
 
 def incremental_or_full(src: DataFrame, target: DataFrame | None, name: str, heal_sources: set[str],
@@ -96,8 +100,9 @@ def recent_join_floor(target: DataFrame | None, ts: str = "_inserted_timestamp")
 def fee_precise(price_gwei: str | Column, gas_used: str | Column) -> Column:
     """Gas price in gwei times gas used, in coin units, as exact text."""
     from ..columns import col
-    wei = F.round(col(price_gwei) * 1e9).cast("decimal(28,0)")
-    return L.decimal_adjust((wei * col(gas_used).cast("decimal(10,0)")).cast("decimal(38,0)").cast("string"), 18)
+    # 19 + 19 digits: a product that a decimal of 38 holds for any 64-bit gas and any price below 10^10 coins
+    wei = F.round(col(price_gwei) * 1e9).cast("decimal(19,0)")
+    return L.decimal_adjust((wei * col(gas_used).cast("decimal(19,0)")).cast("decimal(38,0)").cast("string"), 18)
 
 
 def heal_tx(target: DataFrame, batch: DataFrame, blocks: DataFrame, receipts: DataFrame) -> DataFrame:
@@ -152,8 +157,9 @@ def heal_traces(target: DataFrame, txs: DataFrame, run_ts: dt.datetime, days: in
 
 
 def heal_sales(target: DataFrame, contracts: DataFrame, aggs: DataFrame, run_ts: dt.datetime,
-               hours: float = 4) -> DataFrame:
-    """Blocks of earlier sales that a new contract name or aggregator can label.
+               hours: float = 4, name_days: int = 14, label_days: int = 2) -> DataFrame:
+    """Blocks of earlier sales that a new contract name or aggregator can label:
+    names of the last ``name_days``, aggregators of the last ``label_days``.
 
     Returns all target rows of those blocks, to be labelled again.
     """
@@ -161,9 +167,9 @@ def heal_sales(target: DataFrame, contracts: DataFrame, aggs: DataFrame, run_ts:
     if floor is None:
         return target
     old = target.filter(F.col("_inserted_timestamp") < ts_lit(floor))
-    named = contracts.filter((F.col("_inserted_timestamp") > ts_lit(run_ts - dt.timedelta(days=14)))
+    named = contracts.filter((F.col("_inserted_timestamp") > ts_lit(run_ts - dt.timedelta(days=name_days)))
                              & F.col("token_name").isNotNull())
-    fresh = aggs.filter(F.col("_inserted_timestamp") > ts_lit(run_ts - dt.timedelta(days=2)))
+    fresh = aggs.filter(F.col("_inserted_timestamp") > ts_lit(run_ts - dt.timedelta(days=label_days)))
     by_name = old.filter(F.col("project_name").isNull()).join(
         named, F.col("nft_address") == named["contract_address"], "left_semi")
     call = fresh.filter("aggregator_type = 'calldata'")

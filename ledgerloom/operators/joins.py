@@ -5,7 +5,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import functions as L
 from ..columns import col, names
-from .groups import broadcast_if_small
 from .windows import next_value, ordinal
 
 
@@ -107,21 +106,18 @@ def tree_self(nodes: DataFrame, keys, path: str = "trace_address",
 def price_at_hour(df: DataFrame, prices: DataFrame, ts: str, token: str, price: str = "price",
                   native: str | None = None) -> DataFrame:
     """Price of a row's token, and of a native coin, in the row's hour."""
-    p = broadcast_if_small(prices.select(F.col("hour").alias("_hour"),
-                                         F.col("token_address").alias("_token"),
-                                         F.col(price).alias("hourly_price")))
+    p = prices.select(F.col("hour").alias("_hour"), F.col("token_address").alias("_token"), F.col(price).alias("hourly_price"))
     d = df.withColumn("_h", L.hour_of(ts))
     out = d.join(p, (d["_h"] == p["_hour"]) & (d[token] == p["_token"]), "left").drop("_hour", "_token")
     if native is not None:
-        n = broadcast_if_small(prices.filter(F.col("token_address") == native)
-                               .select(F.col("hour").alias("_hour"), F.col(price).alias("native_price")))
+        n = prices.filter(F.col("token_address") == native).select(F.col("hour").alias("_hour"), F.col(price).alias("native_price"))
         out = out.join(n, out["_h"] == n["_hour"], "left").drop("_hour")
     return out.drop("_h")
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: Column, columns: dict[str, str]) -> DataFrame:
-    """Left join of dimension columns, renamed; broadcast when small enough."""
-    d = broadcast_if_small(dim)
+    """Left join of dimension columns, renamed."""
+    d = dim
     return df.join(d, on, "left").select(
         *[df[c] for c in df.columns], *[d[src].alias(name) for name, src in columns.items()])
 

@@ -4,15 +4,40 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..columns import names
 
 ROOT = "ORIGIN"
+#: Field under which a document that is not JSON keeps its text.
+MALFORMED = "_malformed"
 _SLICE = 50_000
 
 
+@F.pandas_udf(T.BooleanType())
+def _holds(docs: pd.Series, key: pd.Series) -> pd.Series:
+    def one(doc, k):
+        try:
+            tree = json.loads(doc)
+        except ValueError:
+            return True  # left to whoever reads the document
+        return isinstance(tree, dict) and tree.get(k) is not None
+    return pd.Series([None if d is None else one(d, k) for d, k in zip(docs, key)], dtype=object)
+
+
+def holds(doc: Column, key: str) -> Column:
+    """Whether a JSON document has a value under a top-level key, at any nesting.
+
+    The JVM's parser answers for almost all; what it refuses, above all documents
+    nested deeper than 1,000 levels, goes to Python, which gets nulls for the rest.
+    """
+    found = F.get_json_object(doc, "$." + key).isNotNull()
+    readable = F.get_json_object(doc, "$").isNotNull()
+    return doc.isNotNull() & (found | F.coalesce(_holds(F.when(~found & ~readable, doc), F.lit(key)), F.lit(False)))
+
+
 def _text(v) -> str:
     return v if isinstance(v, str) else json.dumps(v, separators=(",", ":"))
 
@@ -40,6 +65,13 @@ class _Slice:
                 if isinstance(sub, dict):
                     todo.append((sub, f"{prefix}{i}"))
 
+    def reject(self, row: int, doc: str) -> None:
+        self.keys.append(MALFORMED)
+        self.values.append(doc)
+        self.ends.append(len(self.keys))
+        self.rows.append(row)
+        self.paths.append(None)
+
     def batch(self, source: pa.RecordBatch, keep: list[str]) -> pa.RecordBatch:
         kept = source.select(keep).take(pa.array(self.rows, pa.int32()))
         fields = pa.MapArray.from_arrays(pa.array(self.ends, pa.int32()), pa.array(self.keys, pa.string()),
@@ -48,14 +80,20 @@ class _Slice:
                                           [*keep, "trace_address", "trace_json"])
 
 
-def flatten_tree(df: DataFrame, json_col: str, keep, child_key: str = "calls") -> DataFrame:
-    """One row per node of the tree held as JSON text.
+def flatten_tree(df: DataFrame, json_col: str, keep, child_key: str = "calls", within: str | None = None,
+                 malformed: str = "raise") -> DataFrame:
+    """One row per node of the tree held as JSON text, under the key ``within`` if given.
 
     Trees have no depth limit, which rules out a fixed set of explodes; a
     recursive query would shuffle and re-read every level. Each document is
     walked once instead, in Arrow batches, inside the scan's own tasks. Rows
     leave in slices, so memory does not grow with a batch's node count.
+
+    A document that is not JSON fails the job (``malformed="raise"``), or gives one
+    row without a path that keeps its text under ``MALFORMED`` ("keep").
     """
+    if malformed not in ("raise", "keep"):
+        raise ValueError("malformed is raise or keep")
     keep = names(keep)
     schema = T.StructType([df.schema[k] for k in keep] + [
         T.StructField("trace_address", T.StringType()),
@@ -67,8 +105,13 @@ def flatten_tree(df: DataFrame, json_col: str, keep, child_key: str = "calls") -
             for row, doc in enumerate(batch.column(json_col).to_pylist()):
                 try:
                     tree = json.loads(doc) if doc else None
-                except ValueError:
+                except ValueError as e:
+                    if malformed == "raise":
+                        raise ValueError(f"not a JSON document: {doc[:200]}") from e
+                    found.reject(row, doc)
                     continue
+                if within is not None:
+                    tree = tree.get(within) if isinstance(tree, dict) else None
                 if isinstance(tree, dict):
                     found.walk(row, tree, child_key)
                     if len(found.rows) >= _SLICE:

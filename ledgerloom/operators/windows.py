@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..columns import col, cols, names
-from .groups import CHUNK, MAX_GROUP_ROWS, same_keys, with_chunks
+from .groups import CHUNK, MAX_GROUP_ROWS, with_chunks
 
 
 # -- one row per key ---------------------------------------------------------
@@ -84,20 +84,22 @@ def drop_largest(df: DataFrame, part, amount: str, tie) -> DataFrame:
 def _split(df, part, order, split_by, max_rows):
     if split_by is None and not isinstance(order[0], str):
         raise ValueError("give split_by where the order does not start with an ascending column")
-    by = col(split_by if split_by is not None else order[0])
-    return with_chunks(df, part, by, max_rows)
+    if split_by is None:  # as many columns of the order as are plainly ascending
+        names_ = [isinstance(o, str) for o in order]
+        split_by = order[:names_.index(False) if False in names_ else len(order)]
+    return with_chunks(df, part, split_by, max_rows)
 
 
 def _carried(df: DataFrame, part: list[str], piece: DataFrame, carry: dict[str, Column]) -> DataFrame:
-    """Attach per-piece carried values. ``piece`` has one row per cut piece:
-    at most MAX_CUT_GROUPS x MAX_WAYS rows, so it can be broadcast."""
+    """Attach per-piece carried values. ``piece`` has one row per piece of a cut
+    group; the join uses the distribution the windows already have."""
     state = piece.select(*[F.col(p).alias("_p_" + p) for p in part],
                          F.col(CHUNK).alias("_p_chunk"),
                          *[v.alias(k) for k, v in carry.items()])
     on = df[CHUNK] == state["_p_chunk"]
     for p in part:
         on = on & df[p].eqNullSafe(state["_p_" + p])
-    return df.join(F.broadcast(state), on, "left").drop("_p_chunk", *["_p_" + p for p in part])
+    return df.join(state, on, "left").drop("_p_chunk", *["_p_" + p for p in part])
 
 
 def _parts(part: list[str], cut: bool) -> list[str]:
@@ -236,5 +238,5 @@ def running_max(df: DataFrame, part, order, value: Column, as_: str, split_by=No
 def preorder_index(df: DataFrame, part, path: str, as_: str = "trace_index",
                    max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Depth-first position of a node: order of its integer path, from 0."""
-    return (ordinal(df, part, [path], as_, split_by=F.get(F.col(path), F.lit(0)), max_rows=max_rows)
+    return (ordinal(df, part, [path], as_, max_rows=max_rows)
             .withColumn(as_, F.col(as_) - 1))

@@ -62,20 +62,29 @@ def _to_do(kind, expected, done, lookback, side, limits):
     keys = ["block_number", "tx_hash"] if kind == "receipts_by_hash" else ["block_number"]
     method, ascending = KINDS[kind]
     todo = inc.backlog(expected, done, lookback, side, keys)
-    order = [F.asc("block_number") if ascending else F.desc("block_number"), *keys[1:]]
-    todo = batches(cap(todo, limits["cap"], *order), limits["producer"], limits["worker"], *order)
+    if limits is not None:
+        order = [F.asc("block_number") if ascending else F.desc("block_number"), *keys[1:]]
+        todo = batches(cap(todo, limits["cap"], *order), limits["producer"], limits["worker"], *order)
     return inc.with_request(todo, method, *_params(kind))
 
 
-def backlog_realtime(kind: str, expected: DataFrame, done: DataFrame, lookback: DataFrame) -> DataFrame:
-    """Missing rows from the lookback block up, capped, with request bodies."""
-    return _to_do(kind, expected, done, lookback, "ge",
-                  REALTIME_BY_HASH if kind == "receipts_by_hash" else REALTIME)
+_DEFAULT = object()
 
 
-def backlog_history(kind: str, expected: DataFrame, done: DataFrame, lookback: DataFrame) -> DataFrame:
-    """Missing rows below the lookback block, capped, with request bodies."""
-    return _to_do(kind, expected, done, lookback, "lt", HISTORY)
+def backlog_realtime(kind: str, expected: DataFrame, done: DataFrame, lookback: DataFrame, limits=_DEFAULT) -> DataFrame:
+    """Missing rows from the lookback block up, with request bodies.
+
+    ``limits`` (cap, producer, worker) bounds a run and numbers its batches; by default as one run
+    of the chain's ingest does. ``None`` gives all missing rows, without batch numbers.
+    """
+    if limits is _DEFAULT:
+        limits = REALTIME_BY_HASH if kind == "receipts_by_hash" else REALTIME
+    return _to_do(kind, expected, done, lookback, "ge", limits)
+
+
+def backlog_history(kind: str, expected: DataFrame, done: DataFrame, lookback: DataFrame, limits=_DEFAULT) -> DataFrame:
+    """Missing rows below the lookback block, with request bodies; ``limits`` as above."""
+    return _to_do(kind, expected, done, lookback, "lt", HISTORY if limits is _DEFAULT else limits)
 
 
 def complete_sets(kind: str, landed: DataFrame, target: DataFrame | None, run: Run,

@@ -13,8 +13,8 @@ from ..operators import incremental as inc
 from ..operators.incremental import Run
 from ..operators.joins import enrich_recent, flatten
 from ..operators.project import (blank_to_null, coalesce_paths, guard_position, json_project, pending_flag,
-                                 status_flag, where_json_object, where_path_present)
-from ..operators.tree import flatten_tree
+                                 status_flag, where_json_object)
+from ..operators.tree import flatten_tree, holds
 from ..operators.windows import latest, latest_complete
 
 BLOCK_PATHS = [("VALUE", "$.BLOCK_NUMBER"), ("metadata", "$.request.data.id"),
@@ -154,17 +154,23 @@ def silver_logs(receipts: DataFrame, txs: DataFrame, target: DataFrame | None, r
     return inc.stamp(out.withColumn("logs_id", L.surrogate_key("tx_hash", "event_index")), run)
 
 
-def silver_traces(landed: DataFrame, target: DataFrame | None, run: Run, full_reload: bool = False) -> DataFrame:
-    """One row per call, with its path, parent and own fields."""
+def silver_traces(landed: DataFrame, target: DataFrame | None, run: Run, full_reload: bool = False,
+                  first: int | None = None, step: int | None = None, malformed: str = "raise") -> DataFrame:
+    """One row per call, with its path, parent and own fields.
+
+    A first build reads every partition, unless ``first`` and ``step`` bound it (see ``backfill_slice``).
+    ``malformed`` says what becomes of documents that are not JSON (see ``flatten_tree``).
+    """
     if full_reload or target is None:
-        src = inc.backfill_slice(landed, target, "partition_key")
+        src = inc.backfill_slice(landed, target, "partition_key", step=step, first=first)
     else:
         src = inc.since_inclusive(landed, target)
-    src = where_path_present(src, "DATA", "$.result")
+    src = src.filter(holds(F.col("DATA"), "result"))
     src = src.select("block_number", "partition_key",
                      F.get_json_object("VALUE", "$.array_index").try_cast("bigint").alias("tx_position"),
-                     F.get_json_object("DATA", "$.result").alias("full_traces"), "_inserted_timestamp")
+                     "DATA", "_inserted_timestamp")
     src = latest(src, ["block_number", "tx_position"], "_inserted_timestamp")
-    out = flatten_tree(src, "full_traces", ["block_number", "tx_position", "partition_key", "_inserted_timestamp"])
+    out = flatten_tree(src, "DATA", ["block_number", "tx_position", "partition_key", "_inserted_timestamp"],
+                       within="result", malformed=malformed)
     return inc.stamp(out.withColumn(
         "traces_id", L.surrogate_key("block_number", "tx_position", "trace_address")), run)

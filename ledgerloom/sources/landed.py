@@ -18,15 +18,20 @@ def partition_number(path, depth: int = 4) -> Column:
 
 
 def _with_file_columns(df: DataFrame, root: str, depth: int) -> DataFrame:
-    inside = F.substring_index(F.col("_metadata.file_path"), root.rstrip("/") + "/", -1)
-    return df.select("*", F.col("_metadata.file_modification_time").alias("_file_time"),
-                     partition_number(inside, depth).alias("partition_key"))
+    path = F.col("_metadata.file_path")
+    if root:
+        number = partition_number(F.substring_index(path, root.rstrip("/") + "/", -1), depth)
+    else:  # the last part of the path that begins with a number and an underscore
+        number = F.regexp_extract(path, r"^.*/(\d+)_[^/]*(?:/.*)?$", 1).try_cast("bigint")
+    return df.select("*", F.col("_metadata.file_modification_time").alias("_file_time"), number.alias("partition_key"))
 
 
 def read_landed(spark: SparkSession, path: str, since: dt.datetime | None = None, full: bool = False,
                 root: str = "", depth: int = 4, fmt: str = "parquet", schema=None) -> DataFrame:
     """Landed rows with the partition number from their file's name.
 
+    The number is the one before the first underscore of the ``depth``-th part of
+    the path below ``root``, or without a root that of the deepest part that has one.
     ``since`` keeps files modified from then on: the file reader skips older
     files before opening them. ``full`` reads the whole history.
     """
@@ -38,7 +43,8 @@ def read_landed(spark: SparkSession, path: str, since: dt.datetime | None = None
     return _with_file_columns(reader.load(path), root, depth)
 
 
-def landed_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_batch: int = 10_000) -> DataFrame:
-    """Newly landed rows as a stream."""
-    return (spark.readStream.format(fmt).schema(schema)
-            .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_batch).load(path))
+def landed_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_batch: int = 10_000,
+                  root: str = "", depth: int = 4) -> DataFrame:
+    """Newly landed rows as a stream, with the same file columns."""
+    return _with_file_columns(spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
+                              .option("maxFilesPerTrigger", files_per_batch).load(path), root, depth)

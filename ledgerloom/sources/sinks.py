@@ -6,11 +6,13 @@ a batch touches.
 """
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..columns import names
-from ..operators.groups import keep
+from ..operators.groups import _all, keep
 
 
 def evolve(target: DataFrame, batch: DataFrame) -> DataFrame:
@@ -88,16 +90,53 @@ def write_clustered(df: DataFrame, path: str, exprs: dict[str, Column], sort=(),
      .partitionBy(*exprs).parquet(path))
 
 
+#: Folder beside a table's files that holds its schema; readers of the files pass it by.
+SCHEMA = "_schema"
+#: Distinct partition values a batch's filter names; beyond it the filter is a range.
+MAX_VALUES = 10_000
+
+
+def _schema_of(spark: SparkSession, path: str) -> T.StructType | None:
+    try:
+        return T.StructType.fromJson(json.loads(spark.read.text(f"{path}/{SCHEMA}").first()[0]))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at a path, or None before its first write."""
+    """The table at a path, or None before its first write.
+
+    Tables written by ``upsert_table`` carry their schema, so no file is opened to
+    learn it; for others the schemas of all files are merged.
+    """
+    known = _schema_of(spark, path)
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
+        return spark.read.schema(known).parquet(path) if known else spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
 
+def _touched(target: DataFrame, batch: DataFrame, parts: list[str]) -> DataFrame:
+    """The target's rows in partitions that the batch has rows in, by literal filters that prune the scan."""
+    values = batch.select(*parts).distinct().limit(MAX_VALUES + 1).collect()
+    near = target
+    for p in parts:
+        c = F.col(p)
+        if len(values) > MAX_VALUES:
+            lo, hi, some = batch.agg(F.min(p), F.max(p), F.count_if(F.isnull(p))).first()
+            near = near.filter(c.between(F.lit(lo), F.lit(hi)) | (F.lit(bool(some)) & c.isNull()))
+        else:
+            own = {r[p] for r in values}
+            named = c.isin(*[v for v in own if v is not None])
+            near = near.filter(named | c.isNull() if None in own else named)
+    listed = batch.select(*[F.col(p).alias("_p_" + p) for p in parts]).distinct()
+    return near.join(listed, _all(near[p].eqNullSafe(listed["_p_" + p]) for p in parts), "left_semi") if len(parts) > 1 else near
+
+
 def upsert_table(batch: DataFrame, path: str, keys, partition: dict[str, Column],
                  update_cols=None, keep_cols=(), merge: bool = False, sort=()) -> None:
     """Apply a batch to the Parquet table at ``path``.
@@ -111,8 +150,7 @@ def upsert_table(batch: DataFrame, path: str, keys, partition: dict[str, Column]
     batch = keep(batch.withColumns(partition))
     target = read_table(spark, path)
     if target is not None:
-        parts = list(partition)
-        near = target.join(batch.select(*parts).distinct(), parts, "left_semi")
+        near = _touched(target, batch, list(partition))
         if merge or update_cols is not None or keep_cols:
             for c in batch.columns:
                 if c not in near.columns:
@@ -122,6 +160,8 @@ def upsert_table(batch: DataFrame, path: str, keys, partition: dict[str, Column]
             new = delete_insert(near, batch, keys)
     else:
         new = batch
+    # first the schema: columns that no file has yet read as null
+    spark.createDataFrame([(new.schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{SCHEMA}")
     (_layout(new, [*partition, *(names(sort) or names(keys))])
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition).parquet(path))

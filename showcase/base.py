@@ -23,6 +23,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder all executors can reach: inside the session's checkpoint
-    folder, or a temporary one where none is set (local runs)."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    folder, or a temporary one where the driver is the only machine."""
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None)
+    if not root and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{uuid.uuid4()}" if root else tempfile.mkdtemp()

@@ -93,7 +93,7 @@ def join_asof_next(spark, sf):
         or (o_orderpriority = '2-HIGH' and depth = 1 and i = 0))
   select n.block_number, n.trace_address, e.trace_address as error_address
   from n left join e on n.block_number = e.block_number
-   and regexp_full_match(n.trace_address, e.trace_address || '(_[0-9]+)*')""")
+   and (n.trace_address = e.trace_address or starts_with(n.trace_address, e.trace_address || '_'))""")
 def join_ancestor_prefix(spark, sf):
     nodes = traces(spark, sf).withColumn("error", F.try_element_at("trace_json", F.lit("error")))
     keys = ["block_number", "tx_position"]

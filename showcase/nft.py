@@ -226,12 +226,12 @@ def seaport_1_4(spark, sf):
 @query("aggregator_list", """
   select '0' as aggregator_identifier, '0' as aggregator, 'calldata' as aggregator_type, timestamp '2020-01-01' as _inserted_timestamp
   union all select '0x0000000000000000000000000000000000000000', 'name', 'router', timestamp '2020-01-01'
-  union all select cast(s_suppkey as varchar), 'label of ' || s_name, 'calldata', timestamp '2020-01-01' from supplier where s_suppkey <> 0""")
+  union all select 's' || s_suppkey, 'label of ' || s_name, 'calldata', timestamp '2020-01-01' from supplier""")
 def q_aggregator_list(spark, sf):
     """Placeholders, then one label per supplier twice, then a batch that
     renames them all: first-listed times stay."""
-    s = table(spark, sf, "supplier").filter("s_suppkey <> 0").select(
-        F.col("s_suppkey").cast("string").alias("aggregator_identifier"), F.col("s_name").alias("aggregator"),
+    s = table(spark, sf, "supplier").select(
+        F.concat(F.lit("s"), F.col("s_suppkey")).alias("aggregator_identifier"), F.col("s_name").alias("aggregator"),
         F.lit("calldata").alias("aggregator_type"), F.lit("2020-01-01").cast("timestamp_ntz").alias("_inserted_timestamp"))
     older = s.withColumns({"aggregator": F.lit("old"), "_inserted_timestamp": F.lit("2019-01-01").cast("timestamp_ntz")})
     target = aggregator_list(aggregator_rows(spark).unionByName(s).unionByName(older), None)
@@ -258,7 +258,7 @@ def contracts(spark, sf, day="2020-01-01"):
 
 
 def aggregators(spark, sf, day="2020-01-01"):
-    s = table(spark, sf, "supplier").filter("s_suppkey < 10")
+    s = table(spark, sf, "supplier")
     rows = s.select(F.lpad(F.col("s_suppkey").cast("string"), 8, "0").alias("aggregator_identifier"), F.col("s_name").alias("aggregator"),
                     F.when(F.col("s_suppkey") % 2 == 1, "calldata").otherwise("router").alias("aggregator_type"))
     router = s.filter("s_suppkey = 0").select(F.lit("0x02").alias("aggregator_identifier"), F.lit("routed").alias("aggregator"),
@@ -270,7 +270,7 @@ COMPLETE_SQL = f"""
   with j as ({JOEPEGS_SQL}),
   p as (select distinct o_orderdate + interval 10000 day as hour, dayofmonth(o_orderdate) + 10.0 as price from orders
         where dayofweek(o_orderdate) <> 0),
-  a as (select lpad(cast(s_suppkey as varchar), 8, '0') as tail, s_name as label from supplier where s_suppkey < 10 and s_suppkey % 2 = 1)
+  a as (select lpad(cast(s_suppkey as varchar), 8, '0') as tail, s_name as label from supplier where s_suppkey % 2 = 1)
   select j.tx_hash, j.event_index, j.nft_log_id, case when o_custkey % 10 = 9 then 'routed' else 'joepegs' end as platform_name,
          label as aggregator_name, case when p_size > 10 then p_name end as project_name,
          case when price is not null then 'WAVAX' end as currency_symbol, total_price_raw / 1e18 as price,

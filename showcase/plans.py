@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.groups import keep
 from ledgerloom.operators.incremental import Run
+from ledgerloom.operators.tree import MALFORMED, flatten_tree, holds
 from ledgerloom.plans import gold as G, ingest as I, silver as S
 from . import chain
 from .base import query, table
 from .chain import BASE, BLOCK_SQL, RUN, TX_SQL
 
+DEPTH = "cast(s_suppkey * 41 % 1025 as int)"
 CENTS = "cast(round(o_totalprice * 100) as bigint)"
 
 
@@ -36,6 +38,24 @@ def traces(spark, sf):
     return keep(S.silver_traces(chain.landed_traces(spark, sf), None, RUN))
 
 
+@query("fn_flatten_recursive", """
+  with s as (select s_suppkey, s_suppkey * 41 % 1025 as depth from supplier)
+  select s_suppkey, case when i = 0 then 'ORIGIN' else rtrim(repeat('0_', i), '_') end as trace_address,
+         case when i = 1 then 'ORIGIN' when i > 1 then rtrim(repeat('0_', i - 1), '_') end as parent_trace_address,
+         case when i = depth then 'leaf' end as kind, false as malformed
+  from (select s_suppkey, depth, unnest(range(depth + 1)) as i from s where s_suppkey % 10 <> 3)
+  union all select s_suppkey, null, null, null, true from s where s_suppkey % 10 = 3""")
+def fn_flatten_recursive(spark, sf):
+    """Call trees as deep as the chain allows (1,024), and documents that are not JSON."""
+    doc = lambda end: F.concat(F.lit('{"result":'), F.expr(f"repeat('{{\"calls\":[', {DEPTH})"), F.lit('{"type":"leaf"}'),
+                               F.expr(f"repeat(']}}', {DEPTH})"), F.lit(end))
+    s = table(spark, sf, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 10 == 3, doc("")).otherwise(doc("}")).alias("doc"))
+    found = flatten_tree(s.filter(holds(F.col("doc"), "result")), "doc", "s_suppkey", within="result", malformed="keep")
+    return found.select("s_suppkey", "trace_address", "parent_trace_address",
+                        F.try_element_at("trace_json", F.lit("type")).alias("kind"),
+                        F.try_element_at("trace_json", F.lit(MALFORMED)).isNotNull().alias("malformed"))
+
+
 BLOCKS_SQL = f"""
   select {BLOCK_SQL} as block_number, o_custkey as base_fee_per_gas, {CENTS} as gas_used, {TX_SQL} as hash,
          printf('0x%040x', o_custkey) as miner, printf('0x%064x', o_orderkey + 1) as parent_hash,

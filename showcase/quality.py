@@ -6,7 +6,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import quality as Q
-from .base import query, table
+from .base import query, shared_folder, table
 
 
 @query("dq_unique_combination", """
@@ -81,7 +81,10 @@ def dq_severity(spark, sf):
             .unionByName(Q.grade(o.filter("o_orderstatus = 'X'"))))
 
 
-@query("dq_store_failures", "select l_orderkey, l_linenumber, count(*) as n_records from lineitem group by all having count(*) > 1")
+@query("dq_store_failures", """
+  select l_orderkey, l_suppkey, count(*) as n_records from lineitem group by all having count(*) > 1""")
 def dq_store_failures(spark, sf):
-    """The rows that would be stored; writing them is tested on files."""
-    return Q.unique(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+    """Failing rows stored as a table and read back from there."""
+    path = f"{shared_folder(spark)}/failures"
+    Q.store_failures(Q.unique(table(spark, sf, "lineitem"), ["l_orderkey", "l_suppkey"]), path)
+    return spark.read.parquet(path)

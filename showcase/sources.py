@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from ledgerloom.operators import incremental as I
 from ledgerloom import functions as L
 from ledgerloom.sources import (aggregator_rows, clustered, delete_insert, evolve, literal, merge_upsert,
                                 range_pruned_merge, read_table, upsert_table)
-from ledgerloom.sources.landed import partition_number, read_landed
+from ledgerloom.sources.landed import read_landed
 from ledgerloom.sources.constants import FEE_WALLETS
 from ledgerloom.streaming import run_stream
 from . import chain
@@ -18,13 +19,17 @@ from .chain import BLOCK_SQL, TX_SQL
 
 
 @query("src_landed_recent", """
-  select event_id, cast(null as bigint) as partition_key, 21248000 + event_id % 7 * 1000 as named_key from events""")
+  select event_id, 21248000 + event_id % 4 * 1000 as partition_key from events where event_id % 4 >= 2""")
 def src_landed_recent(spark, sf):
-    """Files modified since 1990: all of them. Their names hold no number, so
-    the name rule is shown on made paths next to it."""
-    e = read_landed(spark, f"{sf}/events.parquet", since=dt.datetime(1990, 1, 1), root=sf)
-    path = F.concat(F.lit("raw/chain/blocks/"), (F.col("event_id") % 7 * 1000 + 21_248_000).cast("string"), F.lit("_x.json"))
-    return e.select("event_id", "partition_key", partition_number(path).alias("named_key"))
+    """Events landed in four folders named by number; two of them before the time asked for."""
+    root, e = f"{shared_folder(spark)}/raw/blocks", table(spark, sf, "events")
+    since = None
+    for k in range(4):
+        if k == 2:
+            time.sleep(2)
+            since = dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None)
+        e.filter(F.col("event_id") % 4 == k).write.parquet(f"{root}/{21_248_000 + k * 1000}_x")
+    return read_landed(spark, root, since=since).select("event_id", "partition_key")
 
 
 @query("src_landed_full", "select user_id, count(*) as n, min(ts) as first_ts from events group by user_id")
@@ -40,14 +45,19 @@ def src_number_sequence(spark, sf):
 
 
 @query("src_values", """
-  select s_suppkey, aggregator, is_wallet from (select s_suppkey, cast(s_suppkey as varchar) as id from supplier) s
-  left join (values ('0', '0', false)) v(aggregator_identifier, aggregator, is_wallet) on id = aggregator_identifier""")
+  with ids(k, id, aggregator, is_wallet) as (values
+    (0, '0', '0', false), (1, '0x0000000000000000000000000000000000000000', 'name', false),
+    (2, '0x0000a26b00c1f0df003000390027140000faa719', null, true), (3, '0x8de9c5a032463c561423387a9648c5c7bcc5bc90', null, true),
+    (4, '0x5b3256965e7c3cf26e11fcaf296dfc8807c01073', null, true))
+  select s_suppkey, id, aggregator, coalesce(is_wallet, false) as is_wallet from supplier left join ids on s_suppkey % 6 = k""")
 def src_values(spark, sf):
-    wallets = literal(spark, [(w, True) for w in FEE_WALLETS], "aggregator_identifier string, w boolean")
-    v = aggregator_rows(spark).join(F.broadcast(wallets), "aggregator_identifier", "left").select(
-        F.col("aggregator_identifier").alias("id"), "aggregator", F.coalesce("w", F.lit(False)).alias("is_wallet"))
-    s = table(spark, sf, "supplier").withColumn("id", F.col("s_suppkey").cast("string"))
-    return s.join(F.broadcast(v), "id", "left").select("s_suppkey", "aggregator", "is_wallet")
+    """Suppliers under the placeholder labels' and fee wallets' addresses in turn, every sixth under none."""
+    labels, wallets = aggregator_rows(spark), literal(spark, [(w, True) for w in FEE_WALLETS], "id string, w boolean")
+    known = [r[0] for r in labels.select("aggregator_identifier").orderBy("aggregator_identifier").collect()] + FEE_WALLETS
+    s = table(spark, sf, "supplier").withColumn("id", F.get(F.array(*map(F.lit, known)), (F.col("s_suppkey") % 6).cast("int")))
+    return (s.join(F.broadcast(labels.withColumnRenamed("aggregator_identifier", "id")), "id", "left")
+            .join(F.broadcast(wallets), "id", "left")
+            .select("s_suppkey", "id", "aggregator", F.coalesce("w", F.lit(False)).alias("is_wallet")))
 
 
 @query("src_explode_txs", f"""
