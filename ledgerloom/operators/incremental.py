@@ -105,17 +105,23 @@ def fee_precise(price_gwei: str | Column, gas_used: str | Column) -> Column:
     return L.decimal_adjust((wei * col(gas_used).cast("decimal(19,0)")).cast("decimal(38,0)").cast("string"), 18)
 
 
+def _about(other: DataFrame, rows: DataFrame) -> DataFrame:
+    """``other`` in the range of blocks that ``rows`` span: two literals that prune its scan."""
+    lo, hi = rows.agg(F.min("block_number"), F.max("block_number")).first()
+    return other.filter(F.lit(False)) if lo is None else other.filter(F.col("block_number").between(lo, hi))
+
+
 def heal_tx(target: DataFrame, batch: DataFrame, blocks: DataFrame, receipts: DataFrame) -> DataFrame:
     """The batch plus pending target transactions whose block and receipt have
     arrived. Overlaps are settled by the caller's newest-row rule."""
-    b = blocks.select("block_number", F.col("block_timestamp").alias("_bts"),
-                      F.col("_inserted_timestamp").alias("_bins"))
-    r = receipts.select("block_number", "tx_hash", *[F.col(c).alias("_r_" + c) for c in
+    pending = target.filter("is_pending")
+    b = _about(blocks, pending).select("block_number", F.col("block_timestamp").alias("_bts"),
+                                       F.col("_inserted_timestamp").alias("_bins"))
+    r = _about(receipts, pending).select("block_number", "tx_hash", *[F.col(c).alias("_r_" + c) for c in
                         ("gas_used", "tx_status", "cumulative_gas_used", "effective_gas_price", "type",
                          "_inserted_timestamp")])
     fee = fee_precise("_r_effective_gas_price", "_r_gas_used")
-    healed = (target.filter("is_pending")
-              .join(b, "block_number").join(r, ["block_number", "tx_hash"])
+    healed = (pending.join(b, "block_number").join(r, ["block_number", "tx_hash"])
               .withColumns({
                   "block_timestamp": F.col("_bts"), "is_pending": F.lit(False),
                   "gas_used": F.col("_r_gas_used"), "tx_status": F.col("_r_tx_status"),
@@ -130,10 +136,11 @@ def heal_tx(target: DataFrame, batch: DataFrame, blocks: DataFrame, receipts: Da
 
 def heal_logs(target: DataFrame, batch: DataFrame, txs: DataFrame) -> DataFrame:
     """The batch plus pending target logs whose transaction is known by now."""
-    t = txs.select("block_number", "tx_hash", F.col("block_timestamp").alias("_bts"),
+    pending = target.filter("is_pending")
+    t = _about(txs, pending).select("block_number", "tx_hash", F.col("block_timestamp").alias("_bts"),
                    F.col("origin_function_signature").alias("_sig"),
                    F.col("_inserted_timestamp").alias("_tins"))
-    healed = (target.filter("is_pending").join(t, ["block_number", "tx_hash"])
+    healed = (pending.join(t, ["block_number", "tx_hash"])
               .withColumns({
                   "block_timestamp": F.col("_bts"), "origin_function_signature": F.col("_sig"),
                   "is_pending": F.col("_bts").isNull() | F.col("_sig").isNull(),
@@ -144,15 +151,15 @@ def heal_logs(target: DataFrame, batch: DataFrame, txs: DataFrame) -> DataFrame:
 
 def heal_traces(target: DataFrame, txs: DataFrame, run_ts: dt.datetime, days: int = 14) -> DataFrame:
     """Published traces lacking transaction columns, completed from recent transactions."""
-    recent = txs.filter(F.col("block_timestamp") >= ts_lit(run_ts - dt.timedelta(days=days)))
+    lacking = target.filter(F.col("tx_hash").isNull() | F.col("block_timestamp").isNull() | F.col("tx_succeeded").isNull())
+    recent = _about(txs.filter(F.col("block_timestamp") >= ts_lit(run_ts - dt.timedelta(days=days))), lacking)
     fill = {"tx_hash": "tx_hash", "block_timestamp": "block_timestamp",
             "origin_function_signature": "origin_function_signature",
             "origin_from_address": "from_address", "origin_to_address": "to_address",
             "tx_succeeded": "tx_status"}
     side = recent.select("block_number", F.col("position").alias("tx_position"),
                          *[F.col(src).alias("_x_" + dst) for dst, src in fill.items()])
-    lacking = F.col("tx_hash").isNull() | F.col("block_timestamp").isNull() | F.col("tx_succeeded").isNull()
-    return (target.filter(lacking).join(side, ["block_number", "tx_position"])
+    return (lacking.join(side, ["block_number", "tx_position"])
             .withColumns({d: F.col("_x_" + d) for d in fill}).select(*target.columns))
 
 

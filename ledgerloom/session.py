@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # the call sites of Column expressions cost more to gather than the plans of this library to build
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -5,10 +5,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import incremental as inc
 from ledgerloom.operators.groups import keep
 from ledgerloom.operators.incremental import Run
 from ledgerloom.operators.tree import MALFORMED, flatten_tree, holds
 from ledgerloom.plans import gold as G, ingest as I, silver as S
+from ledgerloom.sources import delete_insert
 from . import chain
 from .base import query, table
 from .chain import BASE, BLOCK_SQL, RUN, TX_SQL
@@ -25,12 +27,14 @@ def receipts(spark, sf):
     return S.silver_receipts(chain.landed_receipts(spark, sf), None, RUN)
 
 
-def txs(spark, sf):
-    return S.silver_transactions(chain.landed_txs(spark, sf), blocks(spark, sf), receipts(spark, sf), None, RUN)
+def txs(spark, sf, r=None):
+    r = receipts(spark, sf) if r is None else r
+    return S.silver_transactions(chain.landed_txs(spark, sf), blocks(spark, sf), r, None, RUN)
 
 
 def logs(spark, sf):
-    return S.silver_logs(receipts(spark, sf), txs(spark, sf), None, RUN)
+    r = receipts(spark, sf)
+    return S.silver_logs(r, txs(spark, sf, r), None, RUN)
 
 
 def traces(spark, sf):
@@ -204,6 +208,54 @@ def gold_traces(spark, sf):
         "value_precise_raw", "tx_hash", "tx_succeeded")
 
 
+# -- incremental runs --------------------------------------------------------
+
+# Orders are 1995 to 2001; a first run sees what had landed by then, a second one the rest.
+FIRST_RUN = dt.datetime(1998, 6, 1)
+
+
+def in_two_runs(landed, plan, keys):
+    """A plan's table after a first run over what had landed early and a second over everything."""
+    early = landed.filter(F.col("_inserted_timestamp") <= inc.ts_lit(FIRST_RUN))
+    first = keep(plan(early, None))
+    return delete_insert(first, plan(landed, first), keys)
+
+
+@query("silver_blocks_two_runs", f"select * from ({BLOCKS_SQL})")
+def silver_blocks_two_runs(spark, sf):
+    out = in_two_runs(chain.landed_blocks(spark, sf), lambda landed, t: S.silver_blocks(landed, t, RUN), "block_number")
+    return out.withColumn("total_difficulty", F.col("total_difficulty").cast("string")).withColumn(
+        "nonce", F.col("nonce").cast("bigint")).select(
+        "block_number", "base_fee_per_gas", "gas_used", "hash", "miner", "parent_hash", "nonce", "size",
+        "block_timestamp", "tx_count", "total_difficulty", "_inserted_timestamp", "blocks_id")
+
+
+@query("silver_receipts_two_runs", RECEIPTS_SQL)
+def silver_receipts_two_runs(spark, sf):
+    out = in_two_runs(chain.landed_receipts(spark, sf), lambda landed, t: S.silver_receipts(landed, t, RUN), ["block_number", "position"])
+    return out.select("block_number", "tx_hash", "position", "cumulative_gas_used", "effective_gas_price", "from_address",
+                      "gas_used", "tx_status", "to_address", "type")
+
+
+@query("silver_transactions_healed", f"select * exclude (o_custkey, fee_wei) from ({TXS_SQL})")
+def silver_transactions_healed(spark, sf):
+    """A first run before any receipt of every second order had landed; a second run heals those transactions."""
+    b, r = blocks(spark, sf), receipts(spark, sf)
+    landed = chain.landed_txs(spark, sf)
+    first = keep(S.silver_transactions(landed, b, r.filter("block_number % 2 = 0"), None, RUN))
+    second = S.silver_transactions(landed.filter(F.lit(False)), b, r, first, RUN)
+    return delete_insert(first, second, ["block_number", "position"]).select(
+        "block_number", "tx_hash", "from_address", "gas", "gas_price", "origin_function_signature", "value_precise_raw",
+        "to_address", "block_timestamp", "nonce", "is_pending", "gas_used", "tx_status", "tx_fee")
+
+
+@query("silver_traces_two_runs", f"""
+  select block_number, cast(0 as bigint) as tx_position, trace_address, parent_trace_address from ({NODES_SQL})""")
+def silver_traces_two_runs(spark, sf):
+    out = in_two_runs(chain.landed_traces(spark, sf), lambda landed, t: S.silver_traces(landed, t, RUN), ["block_number", "tx_position"])
+    return out.select("block_number", "tx_position", "trace_address", "parent_trace_address")
+
+
 # -- ingest ------------------------------------------------------------------
 
 # 72 hours before this run lies 2001-07-29 04:00, which holds some blocks.
