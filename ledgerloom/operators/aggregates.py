@@ -63,9 +63,17 @@ def min_or(df: DataFrame, c: str, default, where: Column | None = None) -> DataF
 
 
 def high_water(target: DataFrame | None, c: str, default=None):
-    """Greatest value in a target table, as a plain value."""
-    got = target.agg(F.max(c)).first()[0] if target is not None else None
-    return default if got is None else got
+    """Greatest value in a target table, as a plain value.
+
+    A run asks for it once per input, always of the table as it was before the
+    run, so it is read once for each DataFrame.
+    """
+    if target is None:
+        return default
+    known = target.__dict__.setdefault("_high_water", {})
+    if c not in known:
+        known[c] = target.agg(F.max(c)).first()[0]
+    return default if known[c] is None else known[c]
 
 
 def distinct(df: DataFrame, columns) -> DataFrame:
