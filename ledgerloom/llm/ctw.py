@@ -36,7 +36,7 @@ from .common import text_bytes, written
 from .hashtable import HashTable
 
 DEPTH = 5
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 32 << 20
 #: Grams of whole two-byte contexts worked on together in a task.
 SHARD_ROWS = 1 << 20
 END_WORD = b"\n"  # no word holds white space
@@ -251,7 +251,7 @@ def _items(depth: int):
                         else:
                             words.update(dict.fromkeys(t.lower().split(), 0))
                     words[END_WORD] += len(own) if chosen else 0
-                if sum(len(g) for g, _ in grams) > 4_000_000:
+                if sum(len(g) for g, _ in grams) > 2_000_000:
                     fold()
         if block is not None:
             yield from done()
