@@ -5,11 +5,13 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.groups import keep
 from ledgerloom.operators.incremental import Run
 from ledgerloom.plans.nft import element as E, joepegs as J, salvor as S, seaport as Z
 from ledgerloom.plans.nft.aggregators import aggregator_list
 from ledgerloom.plans.nft.common import NATIVE, SALE_COLUMNS, WRAPPED_NATIVE
 from ledgerloom.plans.nft.complete import gold_nft_sales, sales_complete
+from ledgerloom.sources import delete_insert
 from ledgerloom.sources.constants import aggregator_rows
 from . import market as M
 from .base import query, table
@@ -309,6 +311,35 @@ def q_complete_markets(spark, sf):
     return out.groupBy("platform_name", "platform_exchange_version").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _seven(spark, sf):
+    return {"joepegs": joepegs(spark, sf), "salvor": salvor(spark, sf), "element": element(spark, sf),
+            **{"seaport_" + v: seaport(spark, sf, v) for v in ("1_1", "1_4", "1_5", "1_6")}}
+
+
+_SEVEN_SQL = " union all ".join(f"select distinct {v} as version, nft_log_id, nft_address from ({q})" for v, q in [
+    ("'JoepegExchange'", JOEPEGS_SQL), ("'salvor v1'", SALVOR_SQL), ("'element v1'", ELEMENT_SQL),
+    ("'seaport_1_1'", singles_sql("1_1")), ("'seaport_1_4'", singles_sql("1_4")), ("'seaport_1_4'", pairs_sql()),
+    ("'seaport_1_5'", singles_sql("1_5")), ("'seaport_1_5'", matched_sql("1_5")),
+    ("'seaport_1_6'", singles_sql("1_6")), ("'seaport_1_6'", matched_sql("1_6"))])
+
+
+@query("sales_complete_healed", f"""
+  select version as platform_exchange_version, count(*) as n, count(p_name) as n_named
+  from ({_SEVEN_SQL}) left join (select {adr('p_partkey')} as addr, case when p_size > 10 then p_name end as p_name from part)
+  on addr = nft_address group by version""")
+def q_complete_healed(spark, sf):
+    """All seven markets in two runs: the first knows no collection's name, the second brings the newest sales and
+    names the earlier ones."""
+    markets, named = _seven(spark, sf), contracts(spark, sf, "2032-12-31")
+    side = prices(spark, sf), named, aggregators(spark, sf)
+    half = dt.datetime(2025, 6, 1)
+    early = {k: df.filter(F.col("_inserted_timestamp") <= F.lit(str(half)).cast("timestamp_ntz")) for k, df in markets.items()}
+    first = keep(sales_complete(early, side[0], named.withColumn("token_name", F.lit(None).cast("string")), side[2], None, RUN))
+    second = sales_complete(markets, *side, first, RUN, heal=True)
+    return delete_insert(first, second, "nft_log_id").groupBy("platform_exchange_version").agg(
+        F.count(F.lit(1)).alias("n"), F.count("project_name").alias("n_named"))
+
+
 @query("gold_nft_sales", f"""
   select c.tx_hash, c.event_index, j.nft_address as contract_address, c.project_name as name, j.tokenid as token_id,
          coalesce(j.erc1155_value, '1') as quantity, case when j.erc1155_value is null then 'erc721' else 'erc1155' end as token_standard,
