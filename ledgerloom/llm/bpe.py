@@ -25,6 +25,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .hashtable import HashTable
+
 NONE = np.int32(2**31 - 1)
 WIDEST = 256
 CELLS = 1 << 21
@@ -36,41 +38,14 @@ class PairTable:
     """Hash table from a pair of token ids to the id of their concatenation."""
 
     def __init__(self, left: np.ndarray, right: np.ndarray, merged: np.ndarray):
-        self.bits = max(4, int(np.ceil(np.log2(max(1, len(left)) * 3))))
-        self.keys = np.full(1 << self.bits, -1, np.int64)
-        self.values = np.full(1 << self.bits, NONE, np.int32)
-        keys = self._key(left, right)
-        slots = self._slot(keys)
-        todo = np.arange(len(keys))
-        while len(todo):
-            free = todo[self.keys[slots[todo]] < 0]
-            self.keys[slots[free]] = keys[free]  # the last writer of a slot keeps it
-            won = free[self.keys[slots[free]] == keys[free]]
-            self.values[slots[won]] = merged[won]
-            todo = np.setdiff1d(todo, won, assume_unique=True)
-            slots[todo] = (slots[todo] + 1) & (len(self.keys) - 1)
+        self.table = HashTable(self._key(left, right), merged, NONE)
 
     def _key(self, left, right):
         return (left.astype(np.int64) << 32) | right.astype(np.int64)
 
-    def _slot(self, keys):
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, NONE where the pair is no token; ids below 0 are padding."""
-        keys = self._key(left, right)
-        slots = self._slot(keys)
-        found = self.keys[slots]
-        out = np.where(found == keys, self.values[slots], NONE)
-        out[(left < 0) | (right < 0)] = NONE
-        open_ = np.flatnonzero((found != keys) & (found >= 0) & (left >= 0) & (right >= 0))
-        while len(open_):
-            slots[open_] = (slots[open_] + 1) & (len(self.keys) - 1)
-            found = self.keys[slots[open_]]
-            hit = found == keys[open_]
-            out[open_[hit]] = self.values[slots[open_[hit]]]
-            open_ = open_[~hit & (found >= 0)]
-        return out
+        return self.table.get(np.where((left < 0) | (right < 0), -1, self._key(left, right)))
 
 
 class Codec:
