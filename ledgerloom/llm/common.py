@@ -48,10 +48,10 @@ def shared(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """The rows from a table in the shared folder: later reads survive the loss of any executor, and are columnar."""
     path = f"{shared(df.sparkSession)}/ledgerloom-{uuid.uuid4()}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -37,28 +37,60 @@ from .hashtable import HashTable
 
 DEPTH = 5
 BLOCK_BYTES = 32 << 20
+#: Partitions beyond one for each block, at most, so that few blocks meet in one.
+SPARE = 2_000
 #: Grams of whole two-byte contexts worked on together in a task.
 SHARD_ROWS = 1 << 20
+#: Bytes whose grams are worked on together, and grams a block gathers before it adds up equal ones.
+STEP, FOLD_ROWS = 1 << 20, 2_000_000
 END_WORD = b"\n"  # no word holds white space
 _HALF = math.log(0.5)
 
 
-def gram_codes(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Grams of every byte of every text and of its end, text after text, and how many each has.
-    A gram is the bytes before, the nearest first, then the byte itself."""
-    pad = bytes(depth)
-    x = np.frombuffer(pad + b"".join(t + b"\0" + pad for t in texts), np.uint8).astype(np.int64)
+def _codes(buffers: list[bytes], depth: int) -> np.ndarray:
+    """Grams of every byte but the first ``depth`` of each buffer. A gram is the bytes before, the nearest first, then the byte."""
+    x = np.frombuffer(b"".join(buffers), np.uint8).astype(np.int64)
     n = len(x) - depth
     codes = np.zeros(n, np.int64)
     for k in range(1, depth + 1):
         codes = codes << 8 | x[depth - k:depth - k + n]
     codes = codes << 8 | x[depth:]
-    counts = np.array([len(t) + 1 for t in texts], np.int64)
-    begin = np.concatenate([[0], np.cumsum(counts + depth)[:-1]])
     keep = np.ones(n, bool)
+    begin = np.cumsum([len(b) for b in buffers])[:-1]
     for k in range(depth):
-        keep[begin + counts + k] = False
-    return codes[keep], counts
+        keep[begin - depth + k] = False
+    return codes[keep]
+
+
+def gram_chunks(texts: list[bytes], depth: int, step: int = STEP) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Grams of every byte of every text and of its end, about ``step`` at a time: (grams, text numbers, how many
+    grams each of them has here). A text longer than that goes on in the next part."""
+    buffers, number, size = [], [], 0
+
+    def part():
+        counts = np.array([len(b) - depth for b in buffers], np.int64)
+        return _codes(buffers, depth), np.array(number, np.int64), counts
+
+    for i, t in enumerate(texts):
+        for at in range(0, len(t) + 1, step):
+            before = t[max(0, at - depth):at]
+            buffers.append(bytes(depth - len(before)) + before + t[at:at + step] + (b"\0" if at + step > len(t) else b""))
+            number.append(i)
+            size += len(buffers[-1])
+            if size >= step:
+                yield part()
+                buffers, number, size = [], [], 0
+    if buffers:
+        yield part()
+
+
+def gram_codes(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """All grams, text after text, and how many each text has."""
+    parts = list(gram_chunks(texts, depth))
+    counts = np.zeros(len(texts), np.int64)
+    for _, number, n in parts:
+        np.add.at(counts, number, n)
+    return np.concatenate([c for c, _, _ in parts]) if parts else np.zeros(0, np.int64), counts
 
 
 def _lgamma(x: np.ndarray) -> np.ndarray:
@@ -243,16 +275,17 @@ def _items(depth: int):
                     own = [t for t, x in zip(texts, train) if x == chosen]
                     if not own:
                         continue
-                    codes, n = np.unique(gram_codes(own, depth)[0], return_counts=True)
-                    grams.append((codes, n if chosen else np.zeros(len(codes), np.int64)))
+                    for codes, _, _ in gram_chunks(own, depth):
+                        codes, n = np.unique(codes, return_counts=True)
+                        grams.append((codes, n if chosen else np.zeros(len(codes), np.int64)))
+                        if sum(len(g) for g, _ in grams) > FOLD_ROWS:
+                            fold()
                     for t in own:
                         if chosen:
                             words.update(t.lower().split())
                         else:
                             words.update(dict.fromkeys(t.lower().split(), 0))
                     words[END_WORD] += len(own) if chosen else 0
-                if sum(len(g) for g, _ in grams) > 2_000_000:
-                    fold()
         if block is not None:
             yield from done()
     return run
@@ -281,8 +314,10 @@ def _score(depth: int, train_tokens: int, distinct: int):
                 if table is None:
                     table = HashTable(np.concatenate(grams), np.concatenate(logp), np.nan)
                 texts = part.column(6).to_pylist()
-                codes, n = gram_codes(texts, depth)
-                total = np.add.reduceat(table.get(codes), np.cumsum(n) - n)
+                total = np.zeros(len(texts))
+                for codes, number, n in gram_chunks(texts, depth):
+                    np.add.at(total, number, np.add.reduceat(table.get(codes), np.cumsum(n) - n))
+                n = np.array([len(t) + 1 for t in texts])
                 split = [[*t.lower().split(), END_WORD] for t in texts]
                 sizes = np.array([len(w) for w in split])
                 c = np.fromiter((counts[w] for words in split for w in words), np.float64, int(sizes.sum()))
@@ -305,8 +340,9 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     total = own.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     own = own.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))
-    items = written(own.select("block", "train", "text").repartition("block").sortWithinPartitions("block")
-                    .mapInArrow(_items(depth), "block long, gram long, word binary, n long"))
+    ways = blocks + min(3 * blocks, SPARE)
+    items = written(own.select("block", "train", "text").repartition(ways, "block").sortWithinPartitions("block")
+                    .mapInArrow(_items(depth), "block long, gram long, word binary, n long"), "zstd")
     of_grams, of_words = items.filter("word is null"), items.filter("word is not null")
     logp = gram_scores(written(of_grams.groupBy("gram").agg(F.sum("n").alias("n"))), depth)
     words = written(of_words.groupBy("word").agg(F.sum("n").alias("n")))
@@ -322,5 +358,5 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         F.lit(0.0).alias("value"), "id", "text"))
     schema = T.StructType([T.StructField("id", kind)] + [T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")]
                           + [T.StructField(n, T.DoubleType()) for n in ("base_score", "score", "bits_per_byte")])
-    return (rows.repartition("block").sortWithinPartitions("block", "kind")
+    return (rows.repartition(ways, "block").sortWithinPartitions("block", "kind")
             .mapInArrow(_score(depth, int(sums.tokens or 0), int(sums.distinct or 0)), schema).withColumnRenamed("id", id_col))

@@ -8,7 +8,7 @@ class HashTable:
     """Values of distinct keys (at least 0) of 64 bits, looked up in bulk."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray, missing):
-        self.bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 3))))
+        self.bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 2))))
         self.keys = np.full(1 << self.bits, -1, np.int64)
         self.values = np.full(1 << self.bits, missing, values.dtype)
         self.missing = missing

@@ -167,3 +167,16 @@ def test_held_out_code_length(spark):
 
     few, shallow, deep = bits(remainder("doc_id", 50) == 0, 5), bits(~held, 2), bits(~held, 5)
     assert deep < shallow < 3.2 and deep < few
+
+
+@pytest.mark.parametrize("step", [1, 3, 7, 64])
+def test_long_texts_in_parts(step):
+    texts = [b"", b"a", b"abcdefg", b"xy" * 20, b"", b"\xff\x00z"]
+    whole, counts = ctw.gram_codes(texts, 3)
+    assert counts.tolist() == [len(t) + 1 for t in texts]
+    own = [[] for _ in texts]
+    for codes, number, n in ctw.gram_chunks(texts, 3, step):
+        for i, part in zip(number.tolist(), np.split(codes, np.cumsum(n)[:-1])):
+            own[i] += part.tolist()
+    assert [c for x in own for c in x] == whole.tolist()
+    assert whole[:2].tolist() == [0, 97]
