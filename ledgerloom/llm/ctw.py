@@ -15,7 +15,8 @@ counts in training texts; their totals are the model. Grams are dealt by the las
 context bytes, below which every context tree is complete in one task (2^32 grams
 at most at the default depth, in parts of whole contexts); only what lies above, at most 257 x 255 nodes, passes the
 driver. Each distinct gram is scored once, scores return to the blocks that asked, and
-texts are streamed against their block's table. Nothing that grows with the corpus
+texts are streamed against their block's table. Texts move between tasks compressed, those
+of one block and batch together. Nothing that grows with the corpus
 is broadcast or capped, so the model grows with the corpus.
 
 Defined results: a null text is empty; documents whose ``train`` is null are scored
@@ -30,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .common import text_bytes, written
@@ -238,16 +240,57 @@ def gram_scores(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
     return dealt.mapInArrow(score, "gram long, logp double")
 
 
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, train, id, text) to one row for each block in a batch, which holds the block's rows compressed."""
+    squeeze = zstandard.ZstdCompressor(level=3)
+    for b in batches:
+        blocks = b.column(0).to_numpy(zero_copy_only=False)
+        order = np.argsort(blocks, kind="stable")
+        rows = b.take(pa.array(order)).select(["train", "id", "text"])
+        cuts = np.flatnonzero(np.diff(blocks[order], prepend=-1) != 0)
+        frames = []
+        for at, n in zip(cuts.tolist(), np.diff(np.append(cuts, len(order))).tolist()):
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, rows.schema) as w:
+                w.write_batch(rows.slice(at, n))
+            frames.append(squeeze.compress(out.getvalue()))
+        yield pa.RecordBatch.from_arrays([pa.array(blocks[order][cuts], pa.int64()), pa.array(frames, pa.binary())], ["block", "frame"])
+
+
+def _rows(frame: bytes) -> pa.Table:
+    """The rows (train, id, text) of a frame."""
+    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(frame)).read_all()
+
+
 def _items(depth: int):
-    """Rows (block, train, text) sorted by block: each block's distinct grams and words and their training counts."""
+    """Rows (block, frame) sorted by block: each block's distinct grams and words and their training counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, grams, words = None, [], Counter()
+        held, size = {True: [], False: []}, 0
+
+        def count():
+            nonlocal size
+            for chosen, own in held.items():
+                for codes, _, _ in gram_chunks(own, depth):
+                    codes, n = np.unique(codes, return_counts=True)
+                    grams.append((codes, n if chosen else np.zeros(len(codes), np.int64)))
+                    if sum(len(g) for g, _ in grams) > FOLD_ROWS:
+                        fold()
+                for t in own:
+                    if chosen:
+                        words.update(t.lower().split())
+                    else:
+                        words.update(dict.fromkeys(t.lower().split(), 0))
+                words[END_WORD] += len(own) if chosen else 0
+                own.clear()
+            size = 0
 
         def fold():
             codes, n = _summed(np.concatenate([g for g, _ in grams]), np.concatenate([n for _, n in grams]))
             grams[:] = [(codes, n)]
 
         def done():
+            count()
             fold()
             codes, n = grams[0]
             for at in range(0, len(codes), 50_000):
@@ -270,29 +313,19 @@ def _items(depth: int):
                         yield from done()
                     block, grams, words = int(blocks[at]), [], Counter()
                 part = b.slice(at, int(np.searchsorted(blocks, blocks[at], "right")) - at)
-                train, texts = part.column(1).to_pylist(), part.column(2).to_pylist()
-                for chosen in (True, False):
-                    own = [t for t, x in zip(texts, train) if x == chosen]
-                    if not own:
-                        continue
-                    for codes, _, _ in gram_chunks(own, depth):
-                        codes, n = np.unique(codes, return_counts=True)
-                        grams.append((codes, n if chosen else np.zeros(len(codes), np.int64)))
-                        if sum(len(g) for g, _ in grams) > FOLD_ROWS:
-                            fold()
-                    for t in own:
-                        if chosen:
-                            words.update(t.lower().split())
-                        else:
-                            words.update(dict.fromkeys(t.lower().split(), 0))
-                    words[END_WORD] += len(own) if chosen else 0
+                for frame in part.column(1).to_pylist():
+                    for chosen, _, t in zip(*(c.to_pylist() for c in _rows(frame).columns)):
+                        held[chosen].append(t)
+                        size += len(t)
+                    if size >= 4 * STEP:
+                        count()
         if block is not None:
             yield from done()
     return run
 
 
 def _score(depth: int, train_tokens: int, distinct: int):
-    """Rows (block, kind, gram, word, value, id, text) sorted by block and kind: a block's values, then its documents."""
+    """Rows (block, kind, gram, word, value, frame) sorted by block and kind: a block's values, then its documents."""
     scale = math.log10(train_tokens + 0.5 * (distinct + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,21 +346,23 @@ def _score(depth: int, train_tokens: int, distinct: int):
                     continue
                 if table is None:
                     table = HashTable(np.concatenate(grams), np.concatenate(logp), np.nan)
-                texts = part.column(6).to_pylist()
-                total = np.zeros(len(texts))
-                for codes, number, n in gram_chunks(texts, depth):
-                    np.add.at(total, number, np.add.reduceat(table.get(codes), np.cumsum(n) - n))
-                n = np.array([len(t) + 1 for t in texts])
-                split = [[*t.lower().split(), END_WORD] for t in texts]
-                sizes = np.array([len(w) for w in split])
-                c = np.fromiter((counts[w] for words in split for w in words), np.float64, int(sizes.sum()))
-                begin = np.cumsum(sizes) - sizes
-                base = np.add.reduceat(np.log10(c + 0.5) - scale, begin)
-                known = np.add.reduceat((c > 0).astype(np.int64), begin)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(5), pa.array(sizes, pa.int64()), pa.array(known), pa.array([train_tokens] * len(texts), pa.int64()),
-                     pa.array(base), pa.array(total), pa.array(-total / math.log10(2) / n)],
-                    ["id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
+                for frame in part.column(5).to_pylist():
+                    own = _rows(frame)
+                    texts = own.column("text").to_pylist()
+                    total = np.zeros(len(texts))
+                    for codes, number, n in gram_chunks(texts, depth):
+                        np.add.at(total, number, np.add.reduceat(table.get(codes), np.cumsum(n) - n))
+                    n = np.array([len(t) + 1 for t in texts])
+                    split = [[*t.lower().split(), END_WORD] for t in texts]
+                    sizes = np.array([len(w) for w in split])
+                    c = np.fromiter((counts[w] for words in split for w in words), np.float64, int(sizes.sum()))
+                    begin = np.cumsum(sizes) - sizes
+                    base = np.add.reduceat(np.log10(c + 0.5) - scale, begin)
+                    known = np.add.reduceat((c > 0).astype(np.int64), begin)
+                    yield pa.RecordBatch.from_arrays(
+                        [own.column("id").combine_chunks(), pa.array(sizes, pa.int64()), pa.array(known), pa.array([train_tokens] * len(texts), pa.int64()),
+                         pa.array(base), pa.array(total), pa.array(-total / math.log10(2) / n)],
+                        ["id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
     return run
 
 
@@ -341,7 +376,9 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     blocks = max(1, -(-total // block_bytes))
     own = own.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))
     ways = blocks + min(3 * blocks, SPARE)
-    items = written(own.select("block", "train", "text").repartition(ways, "block").sortWithinPartitions("block")
+    kind = own.schema["id"].dataType
+    dealt = own.select("block", "train", "id", "text").mapInArrow(_dealt, "block long, frame binary")
+    items = written(dealt.repartition(ways, "block").sortWithinPartitions("block")
                     .mapInArrow(_items(depth), "block long, gram long, word binary, n long"), "zstd")
     of_grams, of_words = items.filter("word is null"), items.filter("word is not null")
     logp = gram_scores(written(of_grams.groupBy("gram").agg(F.sum("n").alias("n"))), depth)
@@ -352,10 +389,9 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         "block", F.lit(0).cast("long").alias("kind"), "gram", none.cast("binary").alias("word"), F.col("logp").alias("value"))
     rows = rows.unionByName(of_words.select("block", "word").join(words, "word").select(
         "block", F.lit(1).cast("long").alias("kind"), F.lit(-1).cast("long").alias("gram"), "word", F.col("n").cast("double").alias("value")))
-    kind = own.schema["id"].dataType
-    rows = rows.withColumn("id", none.cast(kind)).withColumn("text", none.cast("binary")).unionByName(own.select(
+    rows = rows.withColumn("frame", none.cast("binary")).unionByName(dealt.select(
         "block", F.lit(2).cast("long").alias("kind"), F.lit(-1).cast("long").alias("gram"), none.cast("binary").alias("word"),
-        F.lit(0.0).alias("value"), "id", "text"))
+        F.lit(0.0).alias("value"), "frame"))
     schema = T.StructType([T.StructField("id", kind)] + [T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")]
                           + [T.StructField(n, T.DoubleType()) for n in ("base_score", "score", "bits_per_byte")])
     return (rows.repartition(ways, "block").sortWithinPartitions("block", "kind")
