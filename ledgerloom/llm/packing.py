@@ -32,6 +32,15 @@ REMEMBERED = 1_500_000
 #: Marks that a word's end can be split off by: the pre-tokenizer always cuts between them and a letter.
 _MARKS = b".,!|$%&#*?;:()"
 _ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
+#: First bytes of U+0300 to U+037F, which hold every mark that composes with a letter of ASCII.
+_COMPOSING = b"\xcc", b"\xcd"
+
+
+def _folded(text: bytes) -> list[bytes]:
+    """Words of a text, in lower case where that leaves the ids as they are."""
+    if _COMPOSING[0] in text or _COMPOSING[1] in text:
+        return [w.lower() if w.isascii() else w for w in text.split()]
+    return text.lower().split()
 
 
 class Words:
@@ -39,6 +48,9 @@ class Words:
 
     The tokenizer in use cuts at white space before anything else and ignores
     case, so a text's ids are those of its words, and a word is encoded once.
+
+    It composes marks before it ignores case, and some letters (h, j, t, w, y) have
+    composed forms in lower case only. So words with marks keep their case here.
     """
 
     def __init__(self, path: str):
@@ -89,7 +101,7 @@ class Words:
         """Ids of all texts one after the other, and where each text's begin."""
         if len(self.known) > REMEMBERED:
             self._forget()
-        split = [t.lower().split() for t in texts]
+        split = [_folded(t) for t in texts]
         words = list(chain.from_iterable(split))
         at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(at < 0)

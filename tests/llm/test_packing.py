@@ -1,4 +1,6 @@
 import random
+import string
+import unicodedata
 import zlib
 
 import numpy as np
@@ -38,6 +40,18 @@ def test_any_ids(library, text):
     same(library, text)
 
 
+@pytest.mark.parametrize("text", ["H\u0331", "J\u030c", "T\u0308", "W\u030a", "Y\u030a", "The T\u0308A. \u00c9 H\u0331. H\u0331 J\u030cx!"])
+def test_marks_composed_in_lower_case_only(library, text):
+    same(library, text)
+
+
+def test_composing_marks():
+    """A character that changes how a letter of ASCII composes begins with one of the bytes looked for."""
+    marks = [c for c in map(chr, range(128, 0x110000)) if unicodedata.combining(unicodedata.normalize("NFD", c)[0])]
+    composing = [m for m in marks for x in string.ascii_letters if unicodedata.normalize("NFC", x + m)[0] != x]
+    assert len(composing) > 100 and all(m.encode()[:1] in packing._COMPOSING for m in composing)
+
+
 def plain_best_fit(lengths, capacity):
     rooms, out = [], []
     for n in lengths:
