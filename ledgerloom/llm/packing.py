@@ -9,7 +9,10 @@ them at any input size, so the unfilled windows at its end are a negligible shar
 
 Defined results: a null text is empty and consists of the end id; rows that
 repeat are packed each; a document without an id is packed like any other.
-Sequence ids are unique, and the same for the same pieces.
+Sequence ids are unique, and the same for the same pieces. A text that spells one of
+the vocabulary's control tokens, such as ``<|endoftext|>``, is text like any other
+(``encode_special_tokens``): the library's default would put the control token
+itself into a window, so that a document could end itself or start another.
 """
 from __future__ import annotations
 

@@ -52,6 +52,13 @@ def test_composing_marks():
     assert len(composing) > 100 and all(m.encode()[:1] in packing._COMPOSING for m in composing)
 
 
+def test_control_tokens_are_text():
+    flat, _ = packing.words(PATH).encode([b"a <|endoftext|> x<|STARTOFTEXT|>."])
+    assert not {49406, 49407} & {*flat.tolist()}
+    assert flat[:8].tolist() == [320, 27, 347, 40786, 4160, 91, 285, 343]
+    assert 49407 in Tokenizer.from_file(PATH).encode("a <|endoftext|>", add_special_tokens=False).ids  # the library's default
+
+
 def plain_best_fit(lengths, capacity):
     rooms, out = [], []
     for n in lengths:
