@@ -1,7 +1,8 @@
 """Packing of tokenised documents into windows of fixed length, best fit decreasing.
 
 Documents are tokenised whole, closed by an end id, and cut into full windows and
-one remainder. Pieces are dealt over shards by hash, and a shard packs its pieces
+one remainder. Pieces are dealt over shards by hash, those that are equal in turn
+(equal pieces are counted first and move as one row a shard), and a shard packs its pieces
 from long to short, each into the open window with the least room that still
 holds it. A segment tree over the room left finds that window in a few steps. Only
 the pieces' lengths move between tasks; a shard holds about ``SHARD_PIECES`` of
@@ -205,6 +206,11 @@ def best_fit(lengths: list[int], capacity: int) -> list[tuple[int, int]]:
 def pack(parts: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """``parts`` (id, start, length, ...) with sequence_id and offset."""
     shards = max(1, -(-parts.count() // shard_pieces))
+    n, turn = F.col("_n"), F.col("_turn")  # shard after shard gets its share of n equal pieces
+    dealt = (parts.groupBy(*parts.columns).agg(F.count(F.lit(1)).alias("_n"))
+             .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.least(n, F.lit(shards)) - 1)).alias("_turn"))
+             .select(*parts.columns, F.pmod(F.pmod(F.xxhash64(id_col, "start", "ids_crc32"), F.lit(shards)) + turn, F.lit(shards)).alias("_shard"),
+                     (F.floor(n / shards) + (turn < n % shards).cast("long")).alias("_copies")))
     schema = T.StructType([*parts.schema.fields, T.StructField("_shard", T.LongType()),
                            T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
@@ -212,7 +218,10 @@ def pack(parts: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY, sha
         held: list[pa.RecordBatch] = []
 
         def done(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-            shard = rows.column("_shard")[0].as_py()
+            shard, copies = rows.column("_shard")[0].as_py(), rows.column("_copies").to_numpy()
+            rows = rows.drop_columns("_copies")
+            if (copies > 1).any():
+                rows = rows.take(pa.array(np.repeat(np.arange(len(copies)), copies)))
             at = np.array(best_fit(rows.column("length").to_pylist(), capacity), np.int64).reshape(-1, 2)
             yield from (rows.append_column("sequence_id", pa.array(at[:, 0] + (shard << 32)))
                         .append_column("offset", pa.array(at[:, 1])).to_batches(10_000))
@@ -229,8 +238,7 @@ def pack(parts: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY, sha
         if held:
             yield from done(pa.Table.from_batches(held))
 
-    return (parts.withColumn("_shard", F.pmod(F.xxhash64(id_col, "start", "ids_crc32"), F.lit(shards)))
-            .repartition("_shard").sortWithinPartitions("_shard", F.desc("length"), id_col, "start", "ids_crc32")
+    return (dealt.repartition("_shard").sortWithinPartitions("_shard", F.desc("length"), id_col, "start", "ids_crc32")
             .mapInArrow(run, schema).drop("_shard"))
 
 

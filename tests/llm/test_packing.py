@@ -1,3 +1,4 @@
+import collections
 import random
 import string
 import unicodedata
@@ -117,6 +118,26 @@ def test_documents(spark, library):
     assert all(zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in packed)
 
 
+def test_equal_pieces(spark, library):
+    prepare(spark)
+    equal, texts = 400, [f"text {i} " + "more " * (i % 7) for i in range(100)]
+    docs = spark.createDataFrame([(None, "same words")] * equal + [(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = packing.packed(docs, PATH, 2, capacity=16, shard_pieces=50).collect()
+    assert len(rows) == equal + len(texts)
+    ids = np.array([*library("same words"), 2], "<u4")
+    assert all((r.start, r.length, r.ids_crc32, r.doc_tokens) == (0, len(ids), zlib.crc32(ids.tobytes()), len(ids)) for r in rows if r.doc_id is None)
+    windows = {}
+    for r in rows:
+        windows.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in windows.values():
+        own.sort()
+        assert [o for o, _ in own] == [0, *np.cumsum([n for _, n in own])[:-1].tolist()] and sum(n for _, n in own) <= 16
+    shards = collections.Counter(r.sequence_id >> 32 for r in rows if r.doc_id is None)
+    assert len(shards) == 10 and set(shards.values()) == {equal // 10}
+    again = packing.packed(docs.repartition(7), PATH, 2, capacity=16, shard_pieces=50).collect()
+    assert collections.Counter(again) == collections.Counter(rows)
+
+
 def test_query(spark, library):
     from ledgerloom.llm.queries import QUERIES
     folder = "/root/testdata/sf0.001"
