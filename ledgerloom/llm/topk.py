@@ -7,7 +7,7 @@ at most what is accumulated plus the product of the lengths of what remains
 (Cauchy-Schwarz); pairs below their query's threshold are out, candidates that no
 query wants leave the columns, and once few pairs survive they are compacted to a
 list and only those are carried on. The threshold is the k-th best score seen so
-far, and starts as the k-th best among ``SAMPLE`` candidates drawn by hash: any
+far, and starts as the k-th best among about ``SAMPLE`` ids drawn by hash, a row of each: any
 subset's k-th best is a sound bound, so the sample changes speed only.
 
 The queries are handled in blocks of about ``QUERY_BLOCK``, each broadcast (its size
@@ -186,7 +186,8 @@ def top_k(rows: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec_id
     queries = written(own.filter(F.col("id") % every == 0).mapInArrow(_sound, own.schema).groupBy("id").agg(F.min("v").alias("v")))
     n, total = queries.count(), own.count()
     share = min(1.0, sample / max(1, total))
-    drawn = own.filter(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30))).toArrow()
+    drawn = own.filter(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30)))
+    drawn = drawn.dropDuplicates(["id"]).toArrow()  # an id that repeats comes once, however many rows it has
     places, seen = components(drawn.column("v").combine_chunks()) if drawn.num_rows else (np.zeros(0, np.int64), np.zeros((0, 0)))
     seen_ids = drawn.column("id").to_numpy()[places] if drawn.num_rows else np.zeros(0, np.int64)
     blocks, out = max(1, -(-n // query_block)), None

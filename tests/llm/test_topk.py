@@ -43,6 +43,17 @@ def test_search(spark, monkeypatch, args):
     assert run(spark, rows, **args) == plain(rows, k=args.get("k", 20))
 
 
+def test_sample_of_repeated_ids(spark, monkeypatch):
+    prepare(spark)
+    draw = np.random.default_rng(5)
+    rows = [(i, draw.normal(size=4).tolist()) for i in range(50)] + [(7, draw.normal(size=4).tolist()) for _ in range(500)]
+    brought, kind = [], type(spark.range(0))
+    bring = kind.toArrow
+    monkeypatch.setattr(kind, "toArrow", lambda self: brought.append(bring(self)) or brought[-1])
+    assert run(spark, rows) == plain(rows)
+    assert max(t.num_rows for t in brought) == 50
+
+
 def test_pruned_as_full():
     draw = np.random.default_rng(8)
     x = np.floor(64 * draw.normal(size=(3000, 64)) * np.linspace(3, 0.05, 64))
