@@ -340,6 +340,31 @@ def q_complete_healed(spark, sf):
         F.count(F.lit(1)).alias("n"), F.count("project_name").alias("n_named"))
 
 
+_ALL_SALES_SQL = " union all ".join(f"select {', '.join(LOG)}, {v} as platform_exchange_version from ({q})" for v, q in [
+    ("'JoepegExchange'", JOEPEGS_SQL), ("'salvor v1'", SALVOR_SQL), ("'element v1'", ELEMENT_SQL),
+    ("'seaport_1_1'", singles_sql("1_1")), ("'seaport_1_4'", singles_sql("1_4")), ("'seaport_1_4'", pairs_sql()),
+    ("'seaport_1_5'", singles_sql("1_5")), ("'seaport_1_5'", matched_sql("1_5")),
+    ("'seaport_1_6'", singles_sql("1_6")), ("'seaport_1_6'", matched_sql("1_6"))])
+_ALL_ROWS_SQL = f"""
+  with sales as ({_ALL_SALES_SQL}),
+  one as (select * from sales qualify row_number() over (partition by nft_log_id order by buyer_address) = 1)
+  select one.* replace (case when platform_exchange_version <> 'salvor v1' then buyer_address end as buyer_address), p_name as project_name,
+         md5(tx_hash || '-' || event_index || '-' || nft_address || '-' || tokenid || '-' || platform_exchange_version) as complete_nft_sales_id
+  from one left join (select {adr('p_partkey')} as addr, case when p_size > 10 then p_name end as p_name from part) on addr = nft_address"""
+
+
+def _all_rows(df):
+    buyer = F.when(F.col("platform_exchange_version") != "salvor v1", F.col("buyer_address")).alias("buyer_address")
+    return df.select(*[buyer if c == "buyer_address" else c for c in LOG], "platform_exchange_version", "project_name",
+                     "complete_nft_sales_id")
+
+
+@query("sales_complete_rows", _ALL_ROWS_SQL)
+def q_complete_rows(spark, sf):
+    """All seven markets, row by row. Buyers of salvor are in sales_salvor: of two sales with one id either may stay."""
+    return _all_rows(sales_complete(_seven(spark, sf), prices(spark, sf), contracts(spark, sf), aggregators(spark, sf), None, RUN))
+
+
 @query("gold_nft_sales", f"""
   select c.tx_hash, c.event_index, j.nft_address as contract_address, c.project_name as name, j.tokenid as token_id,
          coalesce(j.erc1155_value, '1') as quantity, case when j.erc1155_value is null then 'erc721' else 'erc1155' end as token_standard,
