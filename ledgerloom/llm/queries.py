@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, caps, ctw, langid, licenses, lines, packing, quality, simhash, topk
+from . import bpe, caps, ctw, langid, licenses, lines, packing, quality, runs, simhash, speculate, topk
 from .license_texts import NOTICES
 from .common import prepare, remainder, table
 
@@ -136,3 +136,40 @@ def op10(spark, folder):
     out = ctw.score(table(spark, folder, "documents"), remainder("doc_id", 5) != 1)
     held = F.coalesce(remainder("doc_id", 5) == 1, F.lit(False)).alias("held_out")
     return out.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
+@query("op11_speculative_bpe")
+def op11(spark, folder):
+    """Digests of every text's ids by the tokenizer file and of the text they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids = speculate.encode(table(spark, folder, "documents"), path)
+    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                      F.sha2(speculate.decode("ids", path).cast("binary"), 256).alias("decoded_sha256"))
+
+
+def _with_repeated_tails(docs: DataFrame) -> DataFrame:
+    """Texts with a planted period: where crc32 h of the id divides by ten, the n words from a = h/10 % n on repeat
+    the first p = 1 + (n-a) / (3 + h/10 % 8) of them; other texts stay."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g, words = F.floor(h / 10), F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n = F.size(words)
+    a = F.try_mod(g, n).cast("int")
+    p = (F.floor((n - a) / (g % 8 + 3)) + 1).cast("int")
+    times = F.ceil((n - a) / p).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), times)), F.lit(1), n - a)
+    planted = F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")
+    return docs.withColumn("text", F.when((h % 10 == 0) & (n > 0), planted).otherwise(F.col("text")))
+
+
+@query("op13_periodic_runs")
+def op13(spark, folder):
+    """Runs of repeated words in every text, the longest of them, and a digest of the text without the repeats."""
+    out = runs.find(_with_repeated_tails(table(spark, folder, "documents").select("doc_id", "text")), into="r")
+    top = F.col("top")
+    line = F.transform("r.runs", lambda x: F.concat(F.concat_ws(",", x["start"], x["length"], x["period"]), F.lit("\n")))
+    return out.withColumn("top", runs.longest(F.col("r.runs"))).select(
+        "doc_id", F.size("r.runs").cast("long").alias("n_runs"), top["start"].alias("start"), top["length"].alias("length"),
+        top["period"].alias("period"), F.floor(top["length"] * 1000 / top["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("r.collapsed", 256).alias("collapsed_sha256"),
+        F.col("r.n_words").alias("n_words"))
