@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, caps, ctw, langid, licenses, lines, packing, quality, runs, simhash, speculate, topk
+from . import bpe, caps, ctw, langid, licenses, lines, packing, phrases, quality, runs, simhash, speculate, topk
 from .license_texts import NOTICES
 from .common import prepare, remainder, table
 
@@ -148,6 +148,36 @@ def op11(spark, folder):
                       F.sha2(speculate.decode("ids", path).cast("binary"), 256).alias("decoded_sha256"))
 
 
+_PHRASE_SQL = r"""
+with docs as (select coalesce(lang, 'und') as lang,
+                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+pieces as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as piece from docs),
+words as (select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as w from pieces),
+places as (select lang, w, unnest(range(1, len(w) + 1)) as i from words),
+grams as (select lang, w[i:i + m - 1] as g from places, (select unnest([1, 2, 3, 4]) as m) where i + m - 1 <= len(w)),
+f as (select lang, g, count(*) as a from grams group by lang, g having count(*) >= 30),
+totals as (select lang, sum(len(w))::bigint as n from words group by lang),
+cand as (select * from f where len(g) > 1),
+cuts as (select c.lang, c.g, c.a, k, l.a as l, r.a as r, ((2000000::hugeint * c.a) // (l.a::hugeint + r.a))::bigint as score
+         from (select *, unnest(range(1, len(g))) as k from cand) c
+         join f l on l.lang = c.lang and l.g = c.g[1:k] join f r on r.lang = c.lang and r.g = c.g[k + 1:len(c.g)]),
+lowest as (select *, row_number() over (partition by lang, g order by score, k) as pick from cuts),
+inner_parts as (select lang, a, unnest(list_transform(range(1, len(g) - m + 2), lambda i: g[i:i + m - 1])) as part
+                from cand, (select unnest([2, 3]) as m) where m < len(g)),
+covered as (select lang, part, max(a) as most from inner_parts group by lang, part),
+kept as (select w.lang, array_to_string(w.g, ' ') as phrase, w.a, w.l, w.r, w.score
+         from lowest w left join covered v on v.lang = w.lang and v.part = w.g
+         where pick = 1 and (v.most is null or 100 * v.most::hugeint < 80 * w.a::hugeint)),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000"""
+
+
+@query("op12_phrases", _PHRASE_SQL)
+def op12(spark, folder):
+    """The 2,000 best phrases of each language by the lowest score of their cuts."""
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 def _with_repeated_tails(docs: DataFrame) -> DataFrame:
     """Texts with a planted period: where crc32 h of the id divides by ten, the n words from a = h/10 % n on repeat
     the first p = 1 + (n-a) / (3 + h/10 % 8) of them; other texts stay."""
