@@ -38,15 +38,19 @@ def first_value_per(df: DataFrame, keys, value: Column, order, as_: str) -> Data
         F.min_by(value, F.when(value.isNotNull(), order)).alias(as_))
 
 
-def object_agg(df: DataFrame, keys, k: str, v: str, as_: str = "obj") -> DataFrame:
+def object_agg(df: DataFrame, keys, k: str, v: str, as_: str = "obj", pieces: int = 1) -> DataFrame:
     """Map of names to values per key; null values are left out.
 
     Rows are reduced to one per name first, so a map never gathers more than
-    the distinct names of its key.
+    the distinct names of its key. A map is one value of one row; where a key may have
+    more names than that, ``pieces`` deals them by hash over that many rows a key (column ``piece``).
     """
     one = (df.filter(F.col(v).isNotNull() & F.col(k).isNotNull())
              .groupBy(*names(keys), k).agg(F.min(v).alias(v)))
-    return one.groupBy(*names(keys)).agg(
+    keys = names(keys)
+    if pieces > 1:
+        one, keys = one.withColumn("piece", F.pmod(F.xxhash64(k), F.lit(pieces))), [*keys, "piece"]
+    return one.groupBy(*keys).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(k, v)))).alias(as_))
 
 
@@ -62,18 +66,16 @@ def min_or(df: DataFrame, c: str, default, where: Column | None = None) -> DataF
     return src.agg(F.coalesce(F.min(c), F.lit(default)).alias(c))
 
 
-def high_water(target: DataFrame | None, c: str, default=None):
+def high_water(target: DataFrame | None, c: str, default=None, marks: dict | None = None):
     """Greatest value in a target table, as a plain value.
 
-    A run asks for it once per input, always of the table as it was before the
-    run, so it is read once for each DataFrame.
+    ``marks`` are the values a table's last commit left beside it (``sources.read_marks``); only a column that they
+    lack is looked up in the table itself.
     """
     if target is None:
         return default
-    known = target.__dict__.setdefault("_high_water", {})
-    if c not in known:
-        known[c] = target.agg(F.max(c)).first()[0]
-    return default if known[c] is None else known[c]
+    top = marks[c] if marks and c in marks else target.agg(F.max(c)).first()[0]
+    return default if top is None else top
 
 
 def distinct(df: DataFrame, columns) -> DataFrame:
@@ -94,8 +96,7 @@ def tree_success(nodes: DataFrame, keys, path: str = "trace_address", error: str
     last = F.element_at("_path", -1)
     end = F.when(F.col(path) == "ORIGIN", F.array(F.lit(2**31 - 1))).otherwise(
         F.concat(F.slice("_path", F.lit(1), F.size("_path") - 1), F.array(last + 1)))
-    out = running_max(nodes.withColumn("_path", p), keys, ["_path"], F.when(F.col(error).isNotNull(), end), "_end",
-                      split_by=F.get("_path", F.lit(0)), **kw)
+    out = running_max(nodes.withColumn("_path", p), keys, ["_path"], F.when(F.col(error).isNotNull(), end), "_end", **kw)
     return (out.withColumn("trace_succeeded", ~F.coalesce(F.col("_path") < F.col("_end"), F.lit(False)))
                .drop("_path", "_end"))
 

@@ -6,6 +6,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..columns import names
+from .bitwords import BITS, values_in, words
 from .windows import prev_value
 
 
@@ -18,24 +19,33 @@ def unique(df: DataFrame, keys) -> DataFrame:
     return df.groupBy(*names(keys)).agg(F.count(F.lit(1)).alias("n_records")).filter("n_records > 1")
 
 
-def sequence_gaps(df: DataFrame, c: str, part=(), where=None, width: int = 100_000) -> DataFrame:
+def sequence_gaps(df: DataFrame, c: str, part=(), where=None, width: int = 1_000_000) -> DataFrame:
     """Places where an integer sequence skips values, optionally per group.
 
-    The sequence is cut by value range, so even one table-wide sequence is
-    compared in many tasks; each range passes only its ends to the next.
+    Values travel as words of 64 (see ``bitwords``). A word whose count fits its ends is not taken apart. The
+    words are compared by value range, so even one table-wide sequence is
+    compared in many tasks; each range passes only its end to the next.
     """
     part = names(part)
     one = [*part, "_all"]
-    d = (_where(df, where).filter(F.col(c).isNotNull()).select(*part, c).distinct()
-         .withColumns({"_all": F.lit(0), "_range": F.floor(F.col(c) / width).cast("bigint")}))
-    inner = prev_value(d, c, [*one, "_range"], [c], "_prev", max_rows=None)  # at most ``width`` rows per group
-    ends = d.groupBy(*one, "_range").agg(F.max(c).alias("_end"))
+    d = (words(_where(df, where), c, part).withColumns(
+        {"_all": F.lit(0), "_range": F.floor(F.col("word") * BITS / width).cast("bigint")}))
+    inner = prev_value(d, "hi", [*one, "_range"], ["word"], "_prev", max_rows=None)  # at most ``width`` values per group
+    ends = d.groupBy(*one, "_range").agg(F.max("hi").alias("_end"))
     before = prev_value(ends, "_end", one, ["_range"], "_before").select(*part, "_range", "_before")
     both = inner.alias("i").join(before.alias("b"), _keys_equal("i", "b", [*part, "_range"]), "left")
-    return (both.withColumn("previous_value", F.coalesce("_prev", "_before"))
-                .filter(F.col(c) - F.col("previous_value") > 1)
-                .select(*[F.col("i." + p) for p in part], F.col("previous_value"), F.col(c).alias("current_value"),
-                        (F.col(c) - F.col("previous_value") - 1).alias("missing")))
+    step = lambda a, b: F.struct(a.alias("previous_value"), b.alias("current_value"))
+    last, lo, none = F.coalesce("_prev", "_before"), F.col("lo"), F.array().cast("array<struct<previous_value:bigint,current_value:bigint>>")
+    held = values_in("word", "bits")
+    steps = F.zip_with(F.slice(held, F.lit(1), F.size(held) - 1), F.slice(held, F.lit(2), F.size(held)), step)
+    broken = F.bit_count("bits") != F.col("hi") - lo + 1
+    gaps = F.concat(F.when(lo - last > 1, F.array(step(last, lo))).otherwise(none),
+                    F.when(broken, F.filter(steps, lambda x: x["current_value"] - x["previous_value"] > 1)).otherwise(none))
+    kind = df.schema[c].dataType
+    return (both.select(*[F.col("i." + p) for p in part], F.explode(gaps).alias("_gap"))
+                .select(*part, F.col("_gap.previous_value").cast(kind).alias("previous_value"),
+                        F.col("_gap.current_value").cast(kind).alias("current_value"),
+                        (F.col("_gap.current_value") - F.col("_gap.previous_value") - 1).cast(kind).alias("missing")))
 
 
 def _keys_equal(a: str, b: str, keys) -> Column:

@@ -9,7 +9,7 @@ from .. import functions as L
 from ..operators import incremental as inc
 from ..operators.aggregates import min_or
 from ..operators.incremental import Run, ts_lit
-from ..operators.setops import batches, cap
+from ..operators.setops import batches
 
 # First block with trace history, and per-run caps and batches.
 FLOOR_BLOCK = 21_248_026
@@ -64,7 +64,7 @@ def _to_do(kind, expected, done, lookback, side, limits):
     todo = inc.backlog(expected, done, lookback, side, keys)
     if limits is not None:
         order = [F.asc("block_number") if ascending else F.desc("block_number"), *keys[1:]]
-        todo = batches(cap(todo, limits["cap"], *order), limits["producer"], limits["worker"], *order)
+        todo = batches(todo, limits["producer"], limits["worker"], *order, cap=limits["cap"])
     return inc.with_request(todo, method, *_params(kind))
 
 

@@ -29,11 +29,12 @@ AMOUNT = "decimal(38,0)"
 
 
 def fresh(src: DataFrame, target: DataFrame | None, run: Run, hours: int = 12, days: int | None = 7) -> DataFrame:
-    """Source rows modified since shortly before the target's newest row."""
+    """Source rows modified since shortly before the target's newest row; the run may set other ``hours`` and ``days``."""
     if target is None:
         return src
-    out = inc.since_lookback(src, target, "modified_timestamp", hours, "_inserted_timestamp")
-    return out if days is None else inc.floor_days(out, "modified_timestamp", run.ts, days)
+    hours, days = hours if run.hours is None else run.hours, days if run.days is None else run.days
+    out = inc.since_lookback(src, target, "modified_timestamp", hours, "_inserted_timestamp", run.marks)
+    return out if days is None or days == float("inf") else inc.floor_days(out, "modified_timestamp", run.ts, days)
 
 
 def from_date(src: DataFrame, day: str) -> DataFrame:

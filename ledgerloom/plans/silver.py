@@ -34,7 +34,7 @@ _LONG = L.hex_to_long
 
 def silver_blocks(landed: DataFrame, target: DataFrame | None, run: Run) -> DataFrame:
     """Block headers, newest landing per block."""
-    src = coalesce_paths(inc.since_inclusive(landed, target), BLOCK_PATHS, "block_number", "bigint")
+    src = coalesce_paths(inc.since_inclusive(landed, target, marks=run.marks), BLOCK_PATHS, "block_number", "bigint")
     src = latest(src.select("block_number", "DATA", "_inserted_timestamp"), "block_number", "_inserted_timestamp")
     out = json_project(src, "DATA", {
         "base_fee_per_gas": ("$.result.baseFeePerGas", _LONG),
@@ -65,7 +65,7 @@ def silver_blocks(landed: DataFrame, target: DataFrame | None, run: Run) -> Data
 
 def silver_receipts(landed: DataFrame, target: DataFrame | None, run: Run) -> DataFrame:
     """Receipts with a transaction and a position, newest per (block, position)."""
-    src = where_json_object(inc.since_inclusive(landed, target), "DATA")
+    src = where_json_object(inc.since_inclusive(landed, target, marks=run.marks), "DATA")
     src = coalesce_paths(src, BLOCK_PATHS, "block_number", "bigint")
     out = json_project(src, "DATA", {
         "block_hash": ("$.blockHash",),
@@ -92,7 +92,8 @@ def silver_transactions(landed: DataFrame, blocks: DataFrame, receipts: DataFram
                         target: DataFrame | None, run: Run) -> DataFrame:
     """Transactions with block time and receipt outcome, including earlier ones
     whose block or receipt arrived late."""
-    src = where_json_object(inc.since_inclusive(landed, target), "DATA")
+    run = run.knowing(target, "_inserted_timestamp")
+    src = where_json_object(inc.since_inclusive(landed, target, marks=run.marks), "DATA")
     tx = json_project(src, "DATA", {
         "block_hash": ("$.blockHash",),
         "block_number": ("$.blockNumber", _LONG),
@@ -118,7 +119,7 @@ def silver_transactions(landed: DataFrame, blocks: DataFrame, receipts: DataFram
     out = tx.join(blocks.select("block_number", "block_timestamp"), "block_number", "left")
     out = enrich_recent(out, receipts.withColumnRenamed("type", "tx_type"), ["block_number", "tx_hash"],
                         ["gas_used", "tx_status", "cumulative_gas_used", "effective_gas_price", "tx_type"],
-                        "_inserted_timestamp", inc.recent_join_floor(target))
+                        "_inserted_timestamp", inc.recent_join_floor(target, marks=run.marks))
     out = pending_flag(out, ["block_timestamp", "tx_status"]).withColumn(
         "tx_fee_precise", inc.fee_precise("effective_gas_price", "gas_used"))
     out = out.withColumn("tx_fee", F.coalesce(F.col("tx_fee_precise").cast("double"), F.lit(0.0)))
@@ -133,7 +134,8 @@ LOG_ARRAY = "array<struct<address:string,blockHash:string,data:string,logIndex:s
 
 def silver_logs(receipts: DataFrame, txs: DataFrame, target: DataFrame | None, run: Run) -> DataFrame:
     """One row per event log, with the transaction's time and selector."""
-    base = inc.since_inclusive(receipts.filter(F.json_array_length("logs") > 0), target)
+    run = run.knowing(target, "_inserted_timestamp")
+    base = inc.since_inclusive(receipts.filter(F.json_array_length("logs") > 0), target, marks=run.marks)
     flat = flatten(base.select("block_number", "tx_hash", F.col("position").alias("tx_position"),
                                F.col("from_address").alias("origin_from_address"),
                                F.col("to_address").alias("origin_to_address"),
@@ -145,7 +147,7 @@ def silver_logs(receipts: DataFrame, txs: DataFrame, target: DataFrame | None, r
         F.col("log.data").alias("data"), L.hex_to_long("log.logIndex").alias("event_index"),
         F.col("log.removed").alias("event_removed"), F.col("log.topics").alias("topics"), "_inserted_timestamp")
     out = enrich_recent(flat, txs, ["block_number", "tx_hash"], ["block_timestamp", "origin_function_signature"],
-                        "_inserted_timestamp", inc.recent_join_floor(target))
+                        "_inserted_timestamp", inc.recent_join_floor(target, marks=run.marks))
     out = pending_flag(out, ["block_timestamp", "origin_function_signature"])
     out = out.withColumn("_log_id", L.dash_id("tx_hash", "event_index"))
     if target is not None:
@@ -162,9 +164,9 @@ def silver_traces(landed: DataFrame, target: DataFrame | None, run: Run, full_re
     ``malformed`` says what becomes of documents that are not JSON (see ``flatten_tree``).
     """
     if full_reload or target is None:
-        src = inc.backfill_slice(landed, target, "partition_key", step=step, first=first)
+        src = inc.backfill_slice(landed, target, "partition_key", step=step, first=first, marks=run.marks)
     else:
-        src = inc.since_inclusive(landed, target)
+        src = inc.since_inclusive(landed, target, marks=run.marks)
     src = src.filter(holds(F.col("DATA"), "result"))
     src = src.select("block_number", "partition_key",
                      F.get_json_object("VALUE", "$.array_index").try_cast("bigint").alias("tx_position"),

@@ -2,11 +2,14 @@
 
 The pure forms map (target, batch) to the new target. ``upsert_table`` applies
 them to a partitioned Parquet table, reading and rewriting only the partitions
-a batch touches.
+a batch touches. Each commit leaves the table's high-water marks beside its files, so
+that the next run need not ask the table how far it is.
 """
 from __future__ import annotations
 
+import datetime as dt
 import json
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -137,18 +140,77 @@ def _touched(target: DataFrame, batch: DataFrame, parts: list[str]) -> DataFrame
     return near.join(listed, _all(near[p].eqNullSafe(listed["_p_" + p]) for p in parts), "left_semi") if len(parts) > 1 else near
 
 
+#: Folder that holds the marks of the last commit, and folder of each partition's marks.
+MARKS, PART_MARKS = "_marks", "_part_marks"
+#: Columns whose greatest values are kept, where a table has them.
+MARKED = ("_inserted_timestamp", "modified_timestamp", "block_number", "partition_key")
+_PARSE = {"timestamp_ntz": dt.datetime.fromisoformat, "date": dt.date.fromisoformat,
+          "bigint": int, "int": int, "smallint": int, "tinyint": int}
+
+
+def _put_text(spark: SparkSession, path: str, value: str) -> None:
+    spark.createDataFrame([(value,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def _marks_file(spark: SparkSession, path: str) -> dict:
+    """What the last commit noted; empty if nothing is known, as after a write that failed."""
+    try:
+        row = spark.read.text(f"{path}/{MARKS}").first()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return {}
+        raise
+    return json.loads(row[0]) if row else {}
+
+
+def read_marks(spark: SparkSession, path: str) -> dict:
+    """Greatest values of a table's marked columns as of its last commit, for ``Run.marks``. Reads one
+    small file, none of the table's; columns that no commit noted are absent."""
+    noted = _marks_file(spark, path).get("tops", {})
+    return {c: None if value is None else _PARSE[kind](value) for c, (kind, value) in noted.items()}
+
+
+def _commit_marks(path: str, batch: DataFrame, parts: list[str], before: dict, columns) -> None:
+    """Note the marks of the table as it is now. Only the partitions a batch touched are read;
+    a replaced row may have held the greatest value, so marks are kept by partition."""
+    spark = batch.sparkSession
+    table = read_table(spark, path)
+    columns = [c for c in columns if c in table.columns and c not in parts and table.schema[c].dataType.simpleString() in _PARSE]
+    if not columns:
+        return
+    old = before.get("parts") if set(before.get("tops", {})) == set(columns) else None
+    near = table if old is None else _touched(table, batch, parts)
+    now = near.groupBy(*parts).agg(*[F.max(c).alias(c) for c in columns])
+    if old is not None:
+        held = spark.read.schema(now.schema).parquet(f"{path}/{PART_MARKS}/{old}")
+        same = _all(held[p].eqNullSafe(F.col("_p_" + p)) for p in parts)
+        touched = batch.select(*[F.col(p).cast(now.schema[p].dataType).alias("_p_" + p) for p in parts]).distinct()
+        now = held.join(touched, same, "left_anti").unionByName(now)
+    version = uuid.uuid4().hex
+    now.coalesce(1).write.parquet(f"{path}/{PART_MARKS}/{version}")
+    tops = spark.read.schema(now.schema).parquet(f"{path}/{PART_MARKS}/{version}").agg(*[F.max(c).alias(c) for c in columns]).first()
+    kinds = {c: table.schema[c].dataType.simpleString() for c in columns}
+    text = lambda v: None if v is None else v if isinstance(v, int) else v.isoformat()
+    _put_text(spark, f"{path}/{MARKS}", json.dumps({"parts": version, "tops": {c: (kinds[c], text(tops[c])) for c in columns}}))
+
+
 def upsert_table(batch: DataFrame, path: str, keys, partition: dict[str, Column],
-                 update_cols=None, keep_cols=(), merge: bool = False, sort=()) -> None:
+                 update_cols=None, keep_cols=(), merge: bool = False, sort=(), marked=MARKED) -> None:
     """Apply a batch to the Parquet table at ``path``.
 
     ``partition`` columns are functions of the keys, so a key never moves to
     another partition, and the old rows of a batch are all in the partitions
     the batch touches. Those are found by partition pruning, rewritten and
     swapped in on commit; a failed job leaves the table as it was.
+
+    The greatest values of ``marked`` columns are noted after the data (see ``read_marks``). While data
+    are written no marks are noted, so after a failure between the two the table is asked again.
     """
+    if not partition:
+        raise ValueError("upsert_table needs partition columns: it rewrites the partitions a batch touches while it reads the others")
     spark = batch.sparkSession
     batch = keep(batch.withColumns(partition))
-    target = read_table(spark, path)
+    target, before = read_table(spark, path), _marks_file(spark, path)
     if target is not None:
         near = _touched(target, batch, list(partition))
         if merge or update_cols is not None or keep_cols:
@@ -161,8 +223,25 @@ def upsert_table(batch: DataFrame, path: str, keys, partition: dict[str, Column]
     else:
         new = batch
     # first the schema: columns that no file has yet read as null
-    spark.createDataFrame([(new.schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{SCHEMA}")
+    _put_text(spark, f"{path}/{SCHEMA}", new.schema.json())
+    if before:
+        _put_text(spark, f"{path}/{MARKS}", "{}")
     (_layout(new, [*partition, *(names(sort) or names(keys))])
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition).parquet(path))
+    _commit_marks(path, batch, list(partition), before, marked)
     batch.unpersist()
+
+
+#: Partition column of rows added by a stream: the number of their batch.
+BATCH = "_batch"
+
+
+def append_once(df: DataFrame, path: str, batch: int) -> None:
+    """Add a numbered batch's rows to the table at ``path``, once.
+
+    A batch is a partition of its own, which a repeated batch replaces on commit; so neither a
+    failure before nor one after the commit doubles or loses rows.
+    """
+    (df.withColumn(BATCH, F.lit(batch).cast("bigint")).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path))

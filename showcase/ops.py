@@ -22,8 +22,7 @@ def limit_backlog(spark, sf):
   with c as (select o_orderkey, row_number() over (order by o_orderkey) - 1 as rn from orders order by o_orderkey limit 10000)
   select o_orderkey, rn // 5000 as producer_batch, rn // 1000 as worker_batch from c""")
 def batch_assign(spark, sf):
-    capped = S.cap(table(spark, sf, "orders").select("o_orderkey"), 10_000, "o_orderkey")
-    return S.batches(capped, 5_000, 1_000, "o_orderkey")
+    return S.batches(table(spark, sf, "orders").select("o_orderkey"), 5_000, 1_000, "o_orderkey", cap=10_000)
 
 
 @query("set_union_all", """
@@ -47,4 +46,4 @@ def set_union_distinct(spark, sf):
 @query("set_except", "select o_orderkey from orders except select l_orderkey from lineitem")
 def set_except(spark, sf):
     done = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
-    return S.minus(table(spark, sf, "orders"), done, "o_orderkey")
+    return S.minus(table(spark, sf, "orders"), done, "o_orderkey", dense=True)

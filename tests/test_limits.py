@@ -1,14 +1,20 @@
 """Sizes and shapes at which earlier layouts lost rows or left work in one task."""
+import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import functions as L
 from ledgerloom.operators import incremental as inc, windows as W
+from ledgerloom.operators.aggregates import high_water, object_agg, tree_success
 from ledgerloom.operators.groups import with_chunks
+from ledgerloom.operators.quality import sequence_gaps
+from ledgerloom.operators.setops import batches, minus
 from ledgerloom.operators.tree import MALFORMED, flatten_tree, holds
 from ledgerloom.sources import landed, sinks
+from ledgerloom.streaming import run_stream
 
 
 def tree(depth):
@@ -80,3 +86,157 @@ def test_upsert_reads_touched_partitions_only(spark, tmp_path):
     sinks.upsert_table(one.drop("bucket"), path, "k", bucket)
     got = sinks.read_table(spark, path)
     assert got.count() == 20_000 and got.filter("x = 2").first().k == 5
+
+
+def test_set_difference_by_words(spark):
+    make = lambda xs: spark.createDataFrame([(x,) for x in xs], "k long")
+    wide = [None, -1, -64, -65, 0, 5, 63, 64, 127, 2**62, -2**63, 2**63 - 1]
+    for have in ([], [5, 5, 64, 9], wide, [None], [-1, 2**62]):
+        got = minus(make(wide + [5, 5]), make(have), "k", dense=True)
+        assert sorted(map(str, (r.k for r in got.collect()))) == sorted(map(str, set(wide) - set(have)))
+    plan = minus(spark.range(10**6).toDF("k"), spark.range(5).toDF("k"), "k", dense=True)
+    assert plan.count() == 10**6 - 5
+    assert minus(make([1, 2]).selectExpr("cast(k as int) k"), make([1]), "k", dense=True).schema["k"].dataType.simpleString() == "int"
+
+
+def test_batches_of_any_size_without_one_task(spark):
+    d = spark.range(1_300_000).select((F.col("id") * 7919 % 1_300_000).alias("k"))
+    got = batches(d, 5_000, 1_000, F.desc("k"), cap=1_200_000)
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+    wrong = F.floor((F.lit(1_299_999) - F.col("k")) / 1_000) != F.col("worker_batch")
+    assert got.count() == 1_200_000 and got.filter(wrong).count() == 0
+    assert got.agg(F.max("producer_batch")).first()[0] == 239
+    assert batches(d.limit(0), 5, 1, "k").count() == 0
+
+
+def test_gaps_by_words(spark):
+    rng = random.Random(4)
+    for values in ([], [7], [-200, -3, -2, 63, 64, 65, 127, 128, 3_000_000, 3_000_002], [rng.randrange(500) for _ in range(300)]):
+        d = spark.createDataFrame([(v, v % 2) for v in values + values[:3]], "k int, g int")
+        own = sorted(set(values))
+        want = [(a, b, b - a - 1) for a, b in zip(own, own[1:]) if b - a > 1]
+        assert sorted(map(tuple, sequence_gaps(d, "k", width=128).collect())) == want
+        split = {g: [v for v in own if v % 2 == g] for g in (0, 1)}
+        want = sorted((g, a, b, b - a - 1) for g, vs in split.items() for a, b in zip(vs, vs[1:]) if b - a > 1)
+        assert sorted(map(tuple, sequence_gaps(d, "k", "g", width=128).collect())) == want
+
+
+def test_failure_below_one_first_call_is_cut(spark):
+    """All calls under one first call: the ranges are cut by the whole path."""
+    n = 600
+    d = spark.range(n).select(F.lit(1).alias("k"), F.concat(F.lit("0_"), F.col("id").cast("string")).alias("trace_address"),
+                              F.when(F.col("id") == 7, "x").alias("error"))
+    got = tree_success(d, "k", max_rows=50)
+    assert [r.trace_address for r in got.filter("not trace_succeeded").collect()] == ["0_7"] and got.count() == n
+
+
+def test_maps_in_pieces(spark):
+    d = spark.range(100).select(F.lit("a").alias("k"), F.col("id").cast("string").alias("n"), "id")
+    got = object_agg(d, "k", "n", "id", pieces=4).collect()
+    assert len(got) == 4 and {x: y for r in got for x, y in r.obj.items()} == {str(i): i for i in range(100)}
+
+
+def files_of(df, c="block_number"):
+    return {r.f.split("bucket=")[1].split("/")[0] for r in df.select(F.input_file_name().alias("f")).distinct().collect()}
+
+
+def test_healing_opens_the_buckets_of_pending_rows(spark, tmp_path):
+    """One row waiting since block 1 and one at the head: two buckets are read, not all between them."""
+    path, bucket = f"{tmp_path}/t", {"bucket": L.bucket_1000("block_number")}
+    sinks.upsert_table(spark.range(40_000).select(F.col("id").alias("block_number"), F.lit(1).alias("x")), path, "block_number", bucket)
+    waiting = spark.createDataFrame([(1,), (39_400,), (39_499,), (None,)], "block_number long")
+    table = sinks.read_table(spark, path)
+    near, plain = inc.in_blocks_of(waiting, table, table.drop("bucket"))
+    assert files_of(near) == {"0", "39000"} and len(table.inputFiles()) > 40
+    assert near.join(waiting, "block_number").count() == 3
+    pushed = plain._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(block_number,500)" in pushed and plain.count() <= 2 * 1_001
+    none, = inc.in_blocks_of(waiting.limit(0), table)
+    assert none.count() == 0
+
+
+def test_healing_of_very_many_buckets_joins_them(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(inc, "MAX_BUCKETS", 3)
+    rows = spark.range(0, 9_000, 1_000).toDF("block_number")
+    near, = inc.in_blocks_of(rows, spark.range(20_000).toDF("block_number"))
+    assert near.agg(F.min("block_number"), F.max("block_number")).first() == (0, 8_499)
+    monkeypatch.setattr(inc, "MAX_BUCKETS", 100)
+    monkeypatch.setattr(inc, "MAX_RANGES", 2)
+    assert inc._ranges([0, 1000, 5000, 90_000]) == [(-500, 5500), (89_500, 90_500)]
+    near, = inc.in_blocks_of(rows, spark.range(20_000).toDF("block_number"))
+    assert near.join(rows, "block_number").count() == 9
+
+
+T = [dt.datetime(2024, 5, 1, h) for h in range(9)]
+
+
+def test_marks_are_committed_and_read_without_the_table(spark, tmp_path):
+    path, bucket = f"{tmp_path}/m", {"bucket": L.bucket_1000("block_number")}
+    make = lambda rows: spark.createDataFrame(rows, "block_number long, _inserted_timestamp timestamp_ntz, x string")
+    assert sinks.read_marks(spark, path) == {}
+    sinks.upsert_table(make([(1, T[1], "a"), (5_000, T[5], "b")]), path, "block_number", bucket)
+    assert sinks.read_marks(spark, path) == {"block_number": 5_000, "_inserted_timestamp": T[5]}
+    sinks.upsert_table(make([(5_000, T[3], "older"), (2, T[2], None)]), path, "block_number", bucket)
+    marks = sinks.read_marks(spark, path)
+    assert marks == {"block_number": 5_000, "_inserted_timestamp": T[3]}  # the newest row was replaced
+
+    unreadable = make([(0, T[0], "")]).withColumn("_inserted_timestamp", F.raise_error(F.lit("the table was read")).cast("timestamp_ntz"))
+    src = make([(i, T[i], None) for i in range(1, 7)])
+    kept = lambda df: sorted(r.block_number for r in df.collect())
+    assert kept(inc.since_inclusive(src, unreadable, marks=marks)) == [3, 4, 5, 6]
+    assert kept(inc.since_exclusive(src, unreadable, "_inserted_timestamp", marks)) == [4, 5, 6]
+    assert kept(inc.since_lookback(src, unreadable, "_inserted_timestamp", 2, marks=marks)) == [1, 2, 3, 4, 5, 6]
+    assert inc.recent_join_floor(unreadable, marks=marks) is not None
+    assert inc.Run(T[0], marks=marks).knowing(unreadable, "_inserted_timestamp").marks == marks
+    with pytest.raises(Exception, match="the table was read"):
+        inc.since_inclusive(src, unreadable).count()
+
+    fails = make([(9, T[8], "z")]).withColumn("x", F.when(F.col("block_number") == 9, F.raise_error(F.lit("stop"))).otherwise("x"))
+    with pytest.raises(Exception, match="stop"):
+        sinks.upsert_table(fails, path, "block_number", bucket)
+    again = sinks.read_marks(spark, path)
+    assert again.get("_inserted_timestamp", T[3]) == T[3]
+    assert kept(inc.since_inclusive(src, sinks.read_table(spark, path), marks=again)) == [3, 4, 5, 6]
+    sinks.upsert_table(make([(9, T[4], "z")]), path, "block_number", bucket)
+    assert sinks.read_marks(spark, path)["_inserted_timestamp"] == T[4]
+
+
+def test_marks_after_a_write_that_ended_halfway(spark, tmp_path, monkeypatch):
+    """Data committed, marks not: nothing is noted, the table is asked, and the next commit notes all of it."""
+    path, bucket = f"{tmp_path}/h", {"bucket": L.bucket_1000("block_number")}
+    make = lambda *rows: spark.createDataFrame(rows, "block_number long, _inserted_timestamp timestamp_ntz")
+    sinks.upsert_table(make((1, T[1]), (7_000, T[2])), path, "block_number", bucket)
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "_commit_marks", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            sinks.upsert_table(make((7_000, T[7])), path, "block_number", bucket)
+    assert sinks.read_marks(spark, path) == {}
+    assert high_water(sinks.read_table(spark, path), "_inserted_timestamp", marks={}) == T[7]
+    sinks.upsert_table(make((2, T[3])), path, "block_number", bucket)
+    assert sinks.read_marks(spark, path)["_inserted_timestamp"] == T[7]
+
+
+def test_upsert_wants_a_partition(spark, tmp_path):
+    with pytest.raises(ValueError, match="partition"):
+        sinks.upsert_table(spark.range(3).toDF("k"), f"{tmp_path}/n", "k", {})
+
+
+def test_a_repeated_stream_batch_is_added_once(spark, tmp_path):
+    src, out, ckpt = (str(tmp_path / d) for d in ("src", "out", "ckpt"))
+    spark.range(5).write.parquet(src)
+    calls = []
+
+    def sink(df, number):
+        sinks.append_once(df, out, number)
+        calls.append(number)
+        if len(calls) == 1:
+            raise RuntimeError("after the commit of the rows")
+
+    go = lambda: run_stream(spark, src, "id long", lambda b: b, sink, ckpt, numbered=True)
+    with pytest.raises(Exception, match="after the commit"):
+        go()
+    go()
+    assert calls == [0, 0] and sorted(r.id for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4]
+    spark.range(5, 7).write.mode("append").parquet(src)
+    go()
+    assert calls == [0, 0, 1] and spark.read.parquet(out).count() == 7
