@@ -15,6 +15,8 @@ from ..columns import col, names
 
 CHUNK = "_chunk"
 MAX_GROUP_ROWS = 5_000_000
+#: Bytes a row is taken to have at least where Spark's size estimate rules out a large group.
+ROW_BYTES = 16
 
 
 def keep(df: DataFrame) -> DataFrame:
@@ -29,6 +31,11 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    """The optimiser's size estimate, from file sizes: no job runs for it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def with_chunks(df: DataFrame, part, split_by, max_rows: int | None = MAX_GROUP_ROWS) -> tuple[DataFrame, bool]:
     """Add the piece number of each row if any group needs cutting, and say so.
 
@@ -37,13 +44,14 @@ def with_chunks(df: DataFrame, part, split_by, max_rows: int | None = MAX_GROUP_
     ranges of group and ``split_by``, of about half that many rows each; a range
     is a piece. Any number of groups, any size and any orderable type will do;
     only rows equal in ``split_by`` stay together. The cut rows are kept, so that
-    whoever reads them sees the same pieces. ``max_rows=None`` skips detection,
+    whoever reads them sees the same pieces. Groups are counted by their key columns, and only where the input is
+    estimated to exceed what one task may hold anyway. ``max_rows=None`` skips detection,
     for groups with a bound of their own.
     """
     part = names(part)
     by = [col(c) for c in (split_by if isinstance(split_by, (list, tuple)) else [split_by])]
-    if max_rows is None:
-        return df, False
+    if max_rows is None or _estimated_bytes(df) <= max_rows * ROW_BYTES:
+        return df, False  # all of it is about one task's share
     hot = keep(df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows))
     total = hot.agg(F.sum("_n")).first()[0]
     if not total:

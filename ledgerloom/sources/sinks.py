@@ -93,6 +93,18 @@ def write_clustered(df: DataFrame, path: str, exprs: dict[str, Column], sort=(),
      .partitionBy(*exprs).parquet(path))
 
 
+def write_bucketed(df: DataFrame, table: str, keys, buckets: int, path: str | None = None) -> None:
+    """Write a catalog table dealt into ``buckets`` files by a hash of the keys, sorted in each.
+
+    Tables with the same keys and number of buckets join and aggregate on those keys without moving a row:
+    blocks, receipts, transactions and logs all meet on (block, transaction), again in every plan. Rows are dealt
+    before the write, so that a bucket is one file.
+    """
+    keys = names(keys)
+    writer = (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys))
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
+
+
 #: Folder beside a table's files that holds its schema; readers of the files pass it by.
 SCHEMA = "_schema"
 #: Distinct partition values a batch's filter names; beyond it the filter is a range.

@@ -90,10 +90,13 @@ def join_asof_next(spark, sf):
 @query("join_ancestor_prefix", f"""
   with n as ({NODES_SQL}),
   e as (select block_number, trace_address from n where (o_orderpriority = '1-URGENT' and depth = 0)
-        or (o_orderpriority = '2-HIGH' and depth = 1 and i = 0))
-  select n.block_number, n.trace_address, e.trace_address as error_address
-  from n left join e on n.block_number = e.block_number
-   and (n.trace_address = e.trace_address or starts_with(n.trace_address, e.trace_address || '_'))""")
+        or (o_orderpriority = '2-HIGH' and depth = 1 and i = 0)),
+  w as (select block_number, trace_address, string_split(trace_address, '_') as parts from n),
+  above as (select block_number, trace_address, unnest(list_transform(range(1, len(parts) + 1), lambda k: array_to_string(parts[1:k], '_'))) as prefix from w),
+  hit as (select a.block_number, a.trace_address, a.prefix as error_address from above a
+          join e on e.block_number = a.block_number and e.trace_address = a.prefix)
+  select n.block_number, n.trace_address, hit.error_address
+  from n left join hit on n.block_number = hit.block_number and n.trace_address = hit.trace_address""")
 def join_ancestor_prefix(spark, sf):
     nodes = traces(spark, sf).withColumn("error", F.try_element_at("trace_json", F.lit("error")))
     keys = ["block_number", "tx_position"]

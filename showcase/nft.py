@@ -312,65 +312,127 @@ def q_complete_markets(spark, sf):
 
 
 def _seven(spark, sf):
-    return {"joepegs": joepegs(spark, sf), "salvor": salvor(spark, sf), "element": element(spark, sf),
+    """The sales tables of all markets, as tables: two runs and their healing read them several times."""
+    made = {"joepegs": joepegs(spark, sf), "salvor": salvor(spark, sf), "element": element(spark, sf),
             **{"seaport_" + v: seaport(spark, sf, v) for v in ("1_1", "1_4", "1_5", "1_6")}}
+    return {k: keep(df) for k, df in made.items()}
+
+
+# Each market: version, name, contract, days its orders are shifted by, how its log id is put together, its rows.
+_TX_FIRST, _TX_LAST = "tx_hash || '-' || event_index", "event_index || '-' || tx_hash"
+_MARKETS = [("JoepegExchange", "joepegs", J.EXCHANGE, 10_000, _TX_FIRST, [JOEPEGS_SQL]),
+            ("salvor v1", "salvor", S.MARKET, 11_000, _TX_FIRST, [SALVOR_SQL]),
+            ("element v1", "element", E.MARKET, 9_000, _TX_FIRST, [ELEMENT_SQL]),
+            *[("seaport_" + v, "opensea", Z.VERSIONS[v].contract, DAYS[v], _TX_LAST, [singles_sql(v), *more]) for v, more in (
+                ("1_1", []), ("1_4", [pairs_sql()]), ("1_5", [matched_sql("1_5")]), ("1_6", [matched_sql("1_6")]))]]
+_ALL_SALES_SQL = " union all ".join(
+    f"select {', '.join(LOG)}, '{version}' as platform_exchange_version, '{name}' as own_name, '{contract}' as platform_address, "
+    f"{days} as days, {log_id} as _log_id from ({q})" for version, name, contract, days, log_id, parts in _MARKETS for q in parts)
+_AMOUNTS = {"price": "total_price_raw", "total_fees": "total_fees_raw", "platform_fee": "platform_fee_raw", "creator_fee": "creator_fee_raw"}
+_COIN = f"(currency_address is not null and currency_address in ('{NATIVE}', '{WRAPPED_NATIVE}'))"
+
+#: Every column of every market's sales, computed from the orders. Of two sales with one id the first buyer's stays.
+ALL_COLUMNS_SQL = f"""
+  with sales as ({_ALL_SALES_SQL}),
+  one as (select * from sales qualify row_number() over (partition by nft_log_id order by buyer_address) = 1),
+  o as (select {TX_SQL} as tx_hash, {BLOCK_SQL} as block_number, o_custkey, o_orderpriority, o_orderdate from orders),
+  p as (select distinct o_orderdate + interval 10000 day as hour, dayofmonth(o_orderdate) + 10.0 as hourly from orders
+        where dayofweek(o_orderdate) <> 0),
+  a as (select lpad(cast(s_suppkey as varchar), 8, '0') as tail, s_name as label from supplier where s_suppkey % 2 = 1),
+  n as (select {adr('p_partkey')} as addr, case when p_size > 10 then p_name end as p_name from part),
+  routed as (select count(*) as n from supplier where s_suppkey = 0),
+  full_ as (
+    select one.*, block_number, o_orderdate + to_days(days) as block_timestamp, o_custkey / 1000 as tx_fee,
+           case when platform_exchange_version <> 'salvor v1' then {adr('o_custkey')}
+                when o_orderpriority = '1-URGENT' then {adr('o_custkey + 1')} else '0x02' end as origin_from_address,
+           case when platform_exchange_version <> 'salvor v1' and o_custkey % 10 = 9 then '0x02' else '0x01' end as origin_to_address,
+           '0xa9059cbb' as origin_function_signature, '0x' || lpad(cast(o_custkey % 10 as varchar), 8, '0') as input_data
+    from one join o using (tx_hash))
+  select tx_hash, block_number, block_timestamp, event_index, event_type, platform_address,
+         case when origin_to_address = '0x02' and routed.n > 0 then 'routed' else own_name end as platform_name,
+         platform_exchange_version, seller_address, buyer_address, nft_address, erc1155_value, tokenid, currency_address,
+         {', '.join(_AMOUNTS.values())}, tx_fee, origin_from_address, origin_to_address, origin_function_signature,
+         input_data, nft_log_id, _log_id, block_timestamp as _inserted_timestamp,
+         {', '.join(f"case when {_COIN} then {raw} / 1e18 else {raw} end as {c}" for c, raw in _AMOUNTS.items())},
+         {', '.join(f"case when {_COIN} then coalesce({raw} / 1e18 * hourly, 0) else 0.0 end as {c}_usd" for c, raw in _AMOUNTS.items())},
+         case when hourly is null then null when currency_address = '{NATIVE}' then '{NATIVE}'
+              when currency_address = '{WRAPPED_NATIVE}' then 'WAVAX' end as currency_symbol,
+         tx_fee * hourly as tx_fee_usd, label as aggregator_name, p_name as project_name,
+         md5(tx_hash || '-' || event_index || '-' || nft_address || '-' || tokenid || '-' || platform_exchange_version) as complete_nft_sales_id,
+         timestamp '2033-01-01' as inserted_timestamp, timestamp '2033-01-01' as modified_timestamp
+  from full_ left join p on block_timestamp = hour left join a on tail = right(input_data, 8)
+  left join n on addr = nft_address cross join routed"""
+
+
+ALL_COLUMNS = [*SALE_COLUMNS, *_AMOUNTS, *[c + "_usd" for c in _AMOUNTS], "currency_symbol", "tx_fee_usd", "aggregator_name",
+               "project_name", "complete_nft_sales_id"]
+
+
+def all_sales(spark, sf):
+    return sales_complete(_seven(spark, sf), prices(spark, sf), contracts(spark, sf), aggregators(spark, sf), None, RUN)
+
+
+@query("sales_complete_rows", ALL_COLUMNS_SQL)
+def q_complete_rows(spark, sf):
+    """All seven markets, every row and column."""
+    return all_sales(spark, sf).drop("_invocation_id")
 
 
-_SEVEN_SQL = " union all ".join(f"select distinct {v} as version, nft_log_id, nft_address from ({q})" for v, q in [
-    ("'JoepegExchange'", JOEPEGS_SQL), ("'salvor v1'", SALVOR_SQL), ("'element v1'", ELEMENT_SQL),
-    ("'seaport_1_1'", singles_sql("1_1")), ("'seaport_1_4'", singles_sql("1_4")), ("'seaport_1_4'", pairs_sql()),
-    ("'seaport_1_5'", singles_sql("1_5")), ("'seaport_1_5'", matched_sql("1_5")),
-    ("'seaport_1_6'", singles_sql("1_6")), ("'seaport_1_6'", matched_sql("1_6"))])
-
-
-@query("sales_complete_healed", f"""
-  select version as platform_exchange_version, count(*) as n, count(p_name) as n_named
-  from ({_SEVEN_SQL}) left join (select {adr('p_partkey')} as addr, case when p_size > 10 then p_name end as p_name from part)
-  on addr = nft_address group by version""")
+@query("sales_complete_healed", ALL_COLUMNS_SQL)
 def q_complete_healed(spark, sf):
     """All seven markets in two runs: the first knows no collection's name, the second brings the newest sales and
-    names the earlier ones."""
+    names the earlier ones. Every row and column is as after one run."""
     markets, named = _seven(spark, sf), contracts(spark, sf, "2032-12-31")
     side = prices(spark, sf), named, aggregators(spark, sf)
     half = dt.datetime(2025, 6, 1)
     early = {k: df.filter(F.col("_inserted_timestamp") <= F.lit(str(half)).cast("timestamp_ntz")) for k, df in markets.items()}
     first = keep(sales_complete(early, side[0], named.withColumn("token_name", F.lit(None).cast("string")), side[2], None, RUN))
     second = sales_complete(markets, *side, first, RUN, heal=True)
-    return delete_insert(first, second, "nft_log_id").groupBy("platform_exchange_version").agg(
-        F.count(F.lit(1)).alias("n"), F.count("project_name").alias("n_named"))
+    return delete_insert(first, second, "nft_log_id").drop("_invocation_id")
 
 
-_ALL_SALES_SQL = " union all ".join(f"select {', '.join(LOG)}, {v} as platform_exchange_version from ({q})" for v, q in [
-    ("'JoepegExchange'", JOEPEGS_SQL), ("'salvor v1'", SALVOR_SQL), ("'element v1'", ELEMENT_SQL),
-    ("'seaport_1_1'", singles_sql("1_1")), ("'seaport_1_4'", singles_sql("1_4")), ("'seaport_1_4'", pairs_sql()),
-    ("'seaport_1_5'", singles_sql("1_5")), ("'seaport_1_5'", matched_sql("1_5")),
-    ("'seaport_1_6'", singles_sql("1_6")), ("'seaport_1_6'", matched_sql("1_6"))])
-_ALL_ROWS_SQL = f"""
-  with sales as ({_ALL_SALES_SQL}),
-  one as (select * from sales qualify row_number() over (partition by nft_log_id order by buyer_address) = 1)
-  select one.* replace (case when platform_exchange_version <> 'salvor v1' then buyer_address end as buyer_address), p_name as project_name,
-         md5(tx_hash || '-' || event_index || '-' || nft_address || '-' || tokenid || '-' || platform_exchange_version) as complete_nft_sales_id
-  from one left join (select {adr('p_partkey')} as addr, case when p_size > 10 then p_name end as p_name from part) on addr = nft_address"""
+GOLD_SALES_SQL = f"""
+  select block_number, block_timestamp, tx_hash, event_index, event_type, platform_address, platform_name, platform_exchange_version,
+         aggregator_name, seller_address, buyer_address, nft_address as contract_address, project_name as name, tokenid as token_id,
+         coalesce(erc1155_value, '1') as quantity, case when erc1155_value is null then 'erc721' else 'erc1155' end as token_standard,
+         currency_symbol, currency_address, price, price_usd, total_fees, platform_fee, creator_fee, total_fees_usd,
+         platform_fee_usd, creator_fee_usd, tx_fee, tx_fee_usd, origin_from_address, origin_to_address, origin_function_signature,
+         complete_nft_sales_id as ez_nft_sales_id, inserted_timestamp, modified_timestamp from ({ALL_COLUMNS_SQL})"""
 
 
-def _all_rows(df):
-    buyer = F.when(F.col("platform_exchange_version") != "salvor v1", F.col("buyer_address")).alias("buyer_address")
-    return df.select(*[buyer if c == "buyer_address" else c for c in LOG], "platform_exchange_version", "project_name",
-                     "complete_nft_sales_id")
+@query("gold_nft_sales", GOLD_SALES_SQL)
+def q_gold_nft_sales(spark, sf):
+    """The public view of all seven markets, every column."""
+    return gold_nft_sales(all_sales(spark, sf))
 
 
-@query("sales_complete_rows", _ALL_ROWS_SQL)
-def q_complete_rows(spark, sf):
-    """All seven markets, row by row. Buyers of salvor are in sales_salvor: of two sales with one id either may stay."""
-    return _all_rows(sales_complete(_seven(spark, sf), prices(spark, sf), contracts(spark, sf), aggregators(spark, sf), None, RUN))
+# -- each market in two runs ---------------------------------------------------
 
+def in_two_runs(plan, inputs, days: int):
+    """A market's table after a first run over what had happened by the middle of 1998 and a second over everything.
+    The markets' own seven days do not bound the second run, which comes years later."""
+    half = F.lit(str(dt.datetime(1998, 6, 1) + dt.timedelta(days=days))).cast("timestamp_ntz")
+    early = [df.filter(F.col("modified_timestamp") <= half) for df in inputs]
+    first = keep(plan(*early, None, RUN))
+    return delete_insert(first, plan(*inputs, first, RUN._replace(days=float("inf"))), "nft_log_id")
 
-@query("gold_nft_sales", f"""
-  select c.tx_hash, c.event_index, j.nft_address as contract_address, c.project_name as name, j.tokenid as token_id,
-         coalesce(j.erc1155_value, '1') as quantity, case when j.erc1155_value is null then 'erc721' else 'erc1155' end as token_standard,
-         c.price_usd, c.complete_nft_sales_id as ez_nft_sales_id, timestamp '2033-01-01' as modified_timestamp
-  from ({COMPLETE_SQL}) c join ({JOEPEGS_SQL}) j using (nft_log_id)""")
-def q_gold_nft_sales(spark, sf):
-    return gold_nft_sales(complete(spark, sf)).select(
-        "tx_hash", "event_index", "contract_address", "name", "token_id", "quantity", "token_standard", "price_usd",
-        "ez_nft_sales_id", "modified_timestamp")
+
+@query("sales_joepegs_two_runs", f"select * exclude (block_number, block_timestamp, o_custkey) from ({JOEPEGS_SQL})")
+def joepegs_two_runs(spark, sf):
+    return shaped(in_two_runs(J.sales_joepegs, M.joepegs(spark, sf), 10_000))
+
+
+@query("sales_salvor_two_runs", SALVOR_SQL)
+def salvor_two_runs(spark, sf):
+    logs, transfers, txs = M.salvor(spark, sf)
+    return shaped(in_two_runs(lambda ev, tx, target, run: S.sales_salvor(ev, transfers, tx, target, run), [logs, txs], 11_000))
+
+
+@query("sales_element_two_runs", ELEMENT_SQL)
+def element_two_runs(spark, sf):
+    return shaped(in_two_runs(E.sales_element, M.element(spark, sf), 9_000))
+
+
+@query("sales_seaport_1_6_two_runs", f"select * from ({singles_sql('1_6')}) union all select * from ({matched_sql('1_6')})")
+def seaport_two_runs(spark, sf):
+    return shaped(in_two_runs(lambda *a: Z.sales_seaport("1_6", *a), M.seaport(spark, sf, "1_6", DAYS["1_6"]), DAYS["1_6"]))

@@ -194,14 +194,17 @@ def silver_traces(spark, sf):
         j("error").alias("error"))
 
 
-@query("gold_traces", f"""
+GOLD_TRACES_SQL = f"""
   select n.block_number, cast(0 as bigint) as tx_position, trace_address,
          case depth when 0 then n when 1 then (case when o_orderkey % 2 = 0 then 1 else 0 end) else 0 end as sub_traces,
          case when depth = 0 then 0 when o_orderkey % 2 = 0 then 2 * i + depth else i + 1 end as trace_index,
          not (o_orderpriority = '1-URGENT' or (o_orderpriority = '2-HIGH' and i = 0)) as trace_succeeded,
          case depth when 0 then '0' when 1 then cast(i as varchar) else cast(cents + i as varchar) end as value_precise_raw,
          t.tx_hash, t.tx_status as tx_succeeded
-  from ({NODES_SQL}) n left join ({TXS_SQL}) t on n.block_number = t.block_number""")
+  from ({NODES_SQL}) n left join ({TXS_SQL}) t on n.block_number = t.block_number"""
+
+
+@query("gold_traces", GOLD_TRACES_SQL)
 def gold_traces(spark, sf):
     return G.gold_traces(traces(spark, sf), txs(spark, sf), None, RUN).select(
         "block_number", "tx_position", "trace_address", "sub_traces", "trace_index", "trace_succeeded",
@@ -256,6 +259,22 @@ def silver_traces_two_runs(spark, sf):
     return out.select("block_number", "tx_position", "trace_address", "parent_trace_address")
 
 
+@query("gold_traces_two_runs", GOLD_TRACES_SQL)
+def gold_traces_two_runs(spark, sf):
+    """A first run over the traces that had landed early, when no transaction of an odd block was known; a second one over
+    the rest, which completes the published calls of those blocks, whatever their age."""
+    first_run = Run(FIRST_RUN, "first")
+    landed, t = chain.landed_traces(spark, sf), keep(txs(spark, sf))
+    early = landed.filter(F.col("_inserted_timestamp") <= inc.ts_lit(FIRST_RUN))
+    silver = keep(S.silver_traces(early, None, first_run))
+    first = keep(G.gold_traces(silver, t.filter("block_number % 2 = 0"), None, first_run))
+    keys = ["block_number", "tx_position"]
+    silver = keep(delete_insert(silver, S.silver_traces(landed, silver, RUN), keys))
+    out = delete_insert(first, G.gold_traces(silver, t, first, RUN, heal_days=None), keys)
+    return out.select("block_number", "tx_position", "trace_address", "sub_traces", "trace_index", "trace_succeeded",
+                      "value_precise_raw", "tx_hash", "tx_succeeded")
+
+
 # -- ingest ------------------------------------------------------------------
 
 # 72 hours before this run lies 2001-07-29 04:00, which holds some blocks.

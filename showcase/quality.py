@@ -6,7 +6,11 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import quality as Q
+from ledgerloom.plans import checks as C, silver as S
+from . import chain
 from .base import query, shared_folder, table
+from .nft import ALL_COLUMNS, ALL_COLUMNS_SQL, all_sales
+from .plans import BLOCKS_SQL, LOGS_SQL, NODES_SQL, TXS_SQL, blocks, logs, txs
 
 
 @query("dq_unique_combination", """
@@ -88,3 +92,65 @@ def dq_store_failures(spark, sf):
     path = f"{shared_folder(spark)}/failures"
     Q.store_failures(Q.unique(table(spark, sf, "lineitem"), ["l_orderkey", "l_suppkey"]), path)
     return spark.read.parquet(path)
+
+
+# -- the suites of the library's own tables --------------------------------------
+
+ASKED = dt.datetime(1999, 1, 1)
+
+
+def report_sql(rows: str, suite, columns) -> str:
+    """The suite's counts, over rows that the twin of a table computes from the orders."""
+    own, part = suite.over(columns), []
+    add = lambda rule, c, n: part.append(f"select '{rule}' as rule, '{c}' as column_name, {n} as n_failures")
+    for r in own.rows:
+        bad = f"{r.column} is null" if r.name == "not_null" else f"not regexp_matches({r.column}, '{C.HEX}')"
+        add(r.name, r.column, f"(select count(*) from t where {bad}{f' and ({r.where})' if r.where else ''})")
+    for c in own.numbers:
+        add("number", c, 0)
+    key = ", ".join(own.key)
+    add("unique", ",".join(own.key), f"(select count(*) from (select {key} from t group by all having count(*) > 1))")
+    if own.gaps:
+        c, by = own.gaps[0], ", ".join(own.gaps[1])
+        src = f"(select distinct {by + ',' if by else ''} {c} from t where block_timestamp < timestamp '{ASKED}' - interval 1 day)"
+        part_by = f"partition by {by}" if by else ""
+        add("gaps", c, f"(select count(*) from ({GAPS.format(part=by + ',' if by else '', c=c, over=part_by, src=src)}))")
+    if own.one_block:
+        add("one_block", "tx_hash", "(select count(*) from (select tx_hash from t group by tx_hash having count(distinct block_number) > 1))")
+    if own.recent:
+        add("recent", own.recent, f"(select count(*) from (select max({own.recent}) as m from t) where m is null or m < timestamp '{ASKED}' - interval 1 day)")
+    return f"with t as ({rows}) select *, case when n_failures = 0 then 'pass' else 'error' end as status from ({' union all '.join(part)})"
+
+
+def _suite(name: str, suite, rows: str, columns: str, make):
+    columns = columns.split()
+
+    @query(name, report_sql(rows, suite, columns))
+    def run(spark, sf):
+        return C.report(make(spark, sf).select(*columns), suite, ASKED)
+
+
+_suite("dq_silver_blocks", C.BLOCKS, BLOCKS_SQL,
+       "block_number block_timestamp gas_used hash parent_hash miner nonce size total_difficulty", blocks)
+_suite("dq_silver_transactions", C.TRANSACTIONS, TXS_SQL,
+       "block_number block_timestamp tx_hash nonce from_address to_address gas_price gas origin_function_signature is_pending "
+       "tx_status gas_used tx_fee", txs)
+_suite("dq_silver_logs", C.LOGS, LOGS_SQL,
+       "block_number block_timestamp tx_hash event_index contract_address topics data _log_id is_pending", logs)
+_suite("dq_silver_traces", C.TRACES, f"select *, 0 as tx_position from ({NODES_SQL})", "block_number tx_position trace_address",
+       lambda spark, sf: S.silver_traces(chain.landed_traces(spark, sf), None, chain.RUN))
+
+
+@query("dq_failing_logs", f"""
+  select _log_id, 1 as n_broken, 'not_null origin_function_signature' as broken from ({LOGS_SQL}) where is_pending and event_index > 0""")
+def dq_failing_logs(spark, sf):
+    """Rows with the rules they break: here every waiting log must have its signature already, but the first of a transaction."""
+    strict = C.Suite(("_log_id",), (C.Rule("not_null", "origin_function_signature", "event_index > 0"), C.Rule("hex", "tx_hash")))
+    return C.failing_rows(logs(spark, sf), strict).select(
+        "_log_id", F.size("broken").alias("n_broken"), F.array_join("broken", ",").alias("broken"))
+
+
+@query("dq_sales", report_sql(ALL_COLUMNS_SQL, C.SALES, ALL_COLUMNS))
+def dq_sales(spark, sf):
+    """Sales of all seven markets; deals of assets for assets have no currency, which the suite allows."""
+    return C.report(all_sales(spark, sf).select(*ALL_COLUMNS), C.SALES, ASKED)

@@ -13,6 +13,7 @@ from ledgerloom.operators.groups import with_chunks
 from ledgerloom.operators.quality import sequence_gaps
 from ledgerloom.operators.setops import batches, minus
 from ledgerloom.operators.tree import MALFORMED, flatten_tree, holds
+from ledgerloom.plans import checks as C
 from ledgerloom.sources import landed, sinks
 from ledgerloom.streaming import run_stream
 
@@ -240,3 +241,46 @@ def test_a_repeated_stream_batch_is_added_once(spark, tmp_path):
     spark.range(5, 7).write.mode("append").parquet(src)
     go()
     assert calls == [0, 0, 1] and spark.read.parquet(out).count() == 7
+
+
+def test_bucketed_tables_join_without_moving_rows(spark, tmp_path):
+    """Transactions and receipts laid out by (block, hash): their left join, as in the silver plan, has no exchange."""
+    keys = ["block_number", "tx_hash"]
+    make = lambda n, c: spark.range(n).select((F.col("id") % 97).alias("block_number"), F.col("id").cast("string").alias("tx_hash"), F.lit(1).alias(c))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, df in (("txs_b", make(5_000, "gas")), ("receipts_b", make(4_000, "used"))):
+            sinks.write_bucketed(df, name, keys, 8, str(tmp_path / name))
+        out = spark.table("txs_b").join(spark.table("receipts_b"), keys, "left")
+        assert out.count() == 5_000 and out.filter("used is null").count() == 1_000
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+        per_key = spark.table("txs_b").groupBy(*keys).agg(F.sum("gas"))
+        assert per_key.count() == 5_000 and "Exchange" not in per_key._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in ("txs_b", "receipts_b"):
+            spark.sql(f"drop table if exists {name}")
+
+
+def test_small_inputs_are_not_counted(spark, tmp_path):
+    """Nothing runs while the plan of a small input is built; a large one is counted by its keys."""
+    bad = spark.range(10).select(F.col("id"), F.raise_error(F.lit("it ran")).cast("bigint").alias("k"))
+    W.ordinal(bad, "k", ["id"], "n")
+    with pytest.raises(Exception, match="it ran"):
+        W.ordinal(bad, "k", ["id"], "n", max_rows=2)
+    assert W.ordinal(spark.range(100).withColumn("k", F.lit(1)), "k", ["id"], "n", max_rows=20).filter("n <> id + 1").count() == 0
+
+
+def test_rules_of_a_table(spark):
+    t = dt.datetime(2024, 5, 1)
+    rows = [(1, t, "0xa", "0xc", 0, False), (2, t, None, "c", 0, False), (2, None, "0xb", None, 2, True)]
+    df = spark.createDataFrame(rows, "block_number long, block_timestamp timestamp_ntz, tx_hash string, contract_address string, "
+                                     "event_index long, is_pending boolean").withColumn("_log_id", F.lit("x"))
+    got = {(r.rule, r.column_name): r.n_failures for r in C.report(df, C.LOGS, t + dt.timedelta(days=9)).collect()}
+    assert got[("not_null", "tx_hash")] == 1 and got[("hex", "contract_address")] == 1 and got[("not_null", "block_timestamp")] == 0
+    assert got[("unique", "_log_id")] == 1 and got[("recent", "block_timestamp")] == 1 and got[("number", "event_index")] == 0
+    assert not any(c == "topics" for _, c in got)
+    assert sorted(r.broken for r in C.failing_rows(df, C.LOGS).collect()) == [
+        ["not_null contract_address"], ["not_null tx_hash", "hex contract_address"]]
+    assert C.report(df.limit(0), C.LOGS, t).filter("n_failures > 0").count() == 1  # nothing recent
