@@ -38,6 +38,14 @@ def holds(doc: Column, key: str) -> Column:
     return doc.isNotNull() & (found | F.coalesce(_holds(F.when(~found & ~readable, doc), F.lit(key)), F.lit(False)))
 
 
+def where_holds(df: DataFrame, c: str, key: str) -> DataFrame:
+    """Rows whose document ``holds`` a key; the JVM parses a document for it once."""
+    found, doc = F.col("_found"), F.col(c)
+    refused = F.when(~found & F.get_json_object(doc, "$").isNull(), doc)
+    return (df.filter(doc.isNotNull()).withColumn("_found", F.get_json_object(doc, "$." + key).isNotNull())
+            .filter(found | F.coalesce(_holds(refused, F.lit(key)), F.lit(False))).drop("_found"))
+
+
 def _text(v) -> str:
     return v if isinstance(v, str) else json.dumps(v, separators=(",", ":"))
 

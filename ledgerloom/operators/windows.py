@@ -27,6 +27,24 @@ def latest(df: DataFrame, keys, ts: str, *ties) -> DataFrame:
     return first_row(df, keys, [F.desc_nulls_first(ts), *ties])
 
 
+#: Where a landed row lies: its file and its place in it (see ``read_landed``).
+ADDRESS = ("_file", "_row")
+
+
+def latest_in_place(df: DataFrame, keys, ts: str) -> DataFrame:
+    """As ``latest``, for rows that carry large payloads and their address.
+
+    Keys, times and addresses alone are compared; the few rows that lost are then left out by address, so a
+    payload moves only if the losers are too many to be handed to every task. Equal times are
+    settled by address. Rows without an address are compared whole.
+    """
+    if not set(ADDRESS) <= set(df.columns):
+        return latest(df, keys, ts)
+    place = F.row_number().over(Window.partitionBy(*names(keys)).orderBy(F.desc_nulls_first(ts), *ADDRESS))
+    lost = df.select(*names(keys), ts, *ADDRESS).withColumn("_rn", place).filter("_rn > 1").select(*ADDRESS)
+    return df.join(lost, list(ADDRESS), "left_anti").drop(*ADDRESS)
+
+
 def latest_complete(df: DataFrame, keys, ts: str, pending: str) -> DataFrame:
     """Newest row per key, settled rows before pending ones."""
     return first_row(df, keys, [F.desc_nulls_first(ts), F.asc_nulls_last(pending)])

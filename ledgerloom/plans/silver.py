@@ -14,8 +14,8 @@ from ..operators.incremental import Run
 from ..operators.joins import enrich_recent, flatten
 from ..operators.project import (blank_to_null, coalesce_paths, guard_position, json_project, pending_flag,
                                  status_flag, where_json_object)
-from ..operators.tree import flatten_tree, holds
-from ..operators.windows import latest, latest_complete
+from ..operators.tree import flatten_tree, where_holds
+from ..operators.windows import ADDRESS, latest, latest_complete, latest_in_place
 
 BLOCK_PATHS = [("VALUE", "$.BLOCK_NUMBER"), ("metadata", "$.request.data.id"),
                ("metadata", "$.request.data", "$.id")]
@@ -29,13 +29,17 @@ def _gwei(raw: Column) -> Column:
     return L.scale_down(L.hex_to_long(raw), 9)
 
 
+def _address(src: DataFrame) -> list[str]:
+    return [c for c in ADDRESS if c in src.columns]
+
+
 _LONG = L.hex_to_long
 
 
 def silver_blocks(landed: DataFrame, target: DataFrame | None, run: Run) -> DataFrame:
     """Block headers, newest landing per block."""
     src = coalesce_paths(inc.since_inclusive(landed, target, marks=run.marks), BLOCK_PATHS, "block_number", "bigint")
-    src = latest(src.select("block_number", "DATA", "_inserted_timestamp"), "block_number", "_inserted_timestamp")
+    src = latest_in_place(src.select("block_number", "DATA", "_inserted_timestamp", *_address(src)), "block_number", "_inserted_timestamp")
     out = json_project(src, "DATA", {
         "base_fee_per_gas": ("$.result.baseFeePerGas", _LONG),
         "difficulty": ("$.result.difficulty", _LONG),
@@ -167,11 +171,11 @@ def silver_traces(landed: DataFrame, target: DataFrame | None, run: Run, full_re
         src = inc.backfill_slice(landed, target, "partition_key", step=step, first=first, marks=run.marks)
     else:
         src = inc.since_inclusive(landed, target, marks=run.marks)
-    src = src.filter(holds(F.col("DATA"), "result"))
+    src = where_holds(src, "DATA", "result")
     src = src.select("block_number", "partition_key",
                      F.get_json_object("VALUE", "$.array_index").try_cast("bigint").alias("tx_position"),
-                     "DATA", "_inserted_timestamp")
-    src = latest(src, ["block_number", "tx_position"], "_inserted_timestamp")
+                     "DATA", "_inserted_timestamp", *_address(src))
+    src = latest_in_place(src, ["block_number", "tx_position"], "_inserted_timestamp")
     out = flatten_tree(src, "DATA", ["block_number", "tx_position", "partition_key", "_inserted_timestamp"],
                        within="result", malformed=malformed)
     return inc.stamp(out.withColumn(

@@ -27,7 +27,7 @@ def _with_file_columns(df: DataFrame, root: str, depth: int) -> DataFrame:
 
 
 def read_landed(spark: SparkSession, path: str, since: dt.datetime | None = None, full: bool = False,
-                root: str = "", depth: int = 4, fmt: str = "parquet", schema=None) -> DataFrame:
+                root: str = "", depth: int = 4, fmt: str = "parquet", schema=None, address: bool = False) -> DataFrame:
     """Landed rows with the partition number from their file's name.
 
     The number is the one before the first underscore of the ``depth``-th part of
@@ -40,7 +40,11 @@ def read_landed(spark: SparkSession, path: str, since: dt.datetime | None = None
         reader = reader.schema(schema)
     if since is not None and not full:
         reader = reader.option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S"))
-    return _with_file_columns(reader.load(path), root, depth)
+    rows = reader.load(path)
+    if address:
+        rows = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"), "_metadata")
+    out = _with_file_columns(rows, root, depth)
+    return out.drop("_metadata") if address else out
 
 
 def landed_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_batch: int = 10_000,

@@ -13,7 +13,7 @@ from ledgerloom.operators.groups import with_chunks
 from ledgerloom.operators.quality import sequence_gaps
 from ledgerloom.operators.setops import batches, minus
 from ledgerloom.operators.tree import MALFORMED, flatten_tree, holds
-from ledgerloom.plans import checks as C
+from ledgerloom.plans import checks as C, silver as S
 from ledgerloom.sources import landed, sinks
 from ledgerloom.streaming import run_stream
 
@@ -284,3 +284,26 @@ def test_rules_of_a_table(spark):
     assert sorted(r.broken for r in C.failing_rows(df, C.LOGS).collect()) == [
         ["not_null contract_address"], ["not_null tx_hash", "hex contract_address"]]
     assert C.report(df.limit(0), C.LOGS, t).filter("n_failures > 0").count() == 1  # nothing recent
+
+
+def test_newest_documents_stay_where_they_are(spark, tmp_path):
+    """Of documents landed twice the newest stays; what is shuffled is keys, times and addresses, no document."""
+    t = [dt.datetime(2024, 5, 1, h) for h in range(4)]
+    doc = lambda kind: '{"result":{"type":"%s","calls":[{"type":"inner"}]}}' % kind
+    rows = [(f'{{"BLOCK_NUMBER":{b},"array_index":0}}', d, None, b, ts) for b, d, ts in (
+        (1, doc("old"), t[0]), (1, doc("new"), t[2]), (2, doc("only"), t[1]), (3, doc("kept"), t[1]), (3, '{"result":null}', t[3]), (4, None, t[0]))]
+    root = str(tmp_path / "land")
+    for i, part in enumerate((rows[:3], rows[3:])):
+        spark.createDataFrame(part, landed.ENVELOPE).coalesce(1).write.parquet(f"{root}/a/b/traces/{i}_x")
+    src = landed.read_landed(spark, root, root=root, address=True)
+    assert src.select("_file", "_row").distinct().count() == 6 and "_metadata" not in src.columns
+    out = S.silver_traces(src, None, inc.Run(t[0]))
+    root_types = {r.block_number: r.trace_json["type"] for r in out.collect() if r.trace_address == "ORIGIN"}
+    assert root_types == {1: "new", 2: "only", 3: "kept"} and out.count() == 6
+    plain = S.silver_traces(src.drop("_file", "_row"), None, inc.Run(t[0]))
+    assert sorted(map(str, plain.select("block_number", "trace_address", "trace_json").collect())) == sorted(
+        map(str, out.select("block_number", "trace_address", "trace_json").collect()))
+    shuffles = lambda df: [x for x in df._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hash" in x]
+    below = lambda df: df._jdf.queryExecution().optimizedPlan().toString().split("Window")[-1].split("\n")[1]
+    assert shuffles(out) and "DATA" not in below(out) and "DATA" in below(plain)
+    assert S.silver_blocks(src.withColumn("DATA", F.lit('{"result":{"number":"0x1"}}')), None, inc.Run(t[0])).count() == 4

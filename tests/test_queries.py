@@ -1,7 +1,7 @@
 """Registered queries against their SQL twins on the smallest tables.
 
-The long plans run too when ALL_QUERIES is set; ``python -m showcase.verify``
-runs everything at a chosen scale.
+All but the order book's and the seven markets' plans, which take minutes, and the history backlogs, which are empty
+at this size. These run too when ALL_QUERIES is set; ``python -m showcase.verify`` runs everything at a chosen scale.
 """
 import os
 
@@ -11,7 +11,7 @@ from showcase import REGISTRY
 from showcase.verify import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-LONG = ("sales_", "gold_", "silver_", "backlog_", "complete_")
+LONG = ("sales_seaport", "sales_complete", "gold_nft", "dq_sales", "backlog_history")
 NAMES = [n for n in REGISTRY if os.environ.get("ALL_QUERIES") or not n.startswith(LONG)]
 
 
