@@ -148,3 +148,115 @@ def test_quality_held_out(spark):
     assert len(held) > 50
     good, bad = [r for r in held if r.quality == 1], [r for r in held if r.quality == 0]
     assert sum(r.predicted for r in good) / len(good) >= 0.98 and sum(1 - r.predicted for r in bad) / len(bad) >= 0.85
+
+
+# -- the whole queries against plain versions ----------------------------------
+
+def plain_grams(text, orders, bits):
+    """Bucket of every n-gram, one character after the other."""
+    out = []
+    for n in orders:
+        for i in range(len(text) - n + 1):
+            h = n
+            for c in text[i:i + n]:
+                h = (h ^ ord(c)) * 0x9E3779B1 & 0xFFFFFFFF
+                h ^= h >> 15
+            out.append((h * 0x9E3779B1 & 0xFFFFFFFF) >> 32 - bits)
+    return out
+
+
+def crc(x, m):
+    return zlib.crc32(str(x).encode()) % m
+
+
+def test_language_query_as_the_plain_version(spark):
+    from ledgerloom.llm.queries import QUERIES
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang").collect()
+    got = {r.doc_id: r for r in QUERIES["op2_language"](spark, folder).collect()}
+    grams = {r.doc_id: plain_grams(r.text.lower(), langid.ORDERS, langid.BITS) for r in docs}
+    learned = [r for r in docs if crc(r.doc_id, 4) != 2 and r.lang is not None]
+    langs, counts, rows = sorted({r.lang for r in learned}), {}, {}
+    for r in learned:
+        rows[r.lang] = rows.get(r.lang, 0) + 1
+        own = counts.setdefault(r.lang, np.zeros(1 << langid.BITS))
+        for b in grams[r.doc_id]:
+            own[b] += 1
+    log_p = {k: np.log((counts[k] + langid.SMOOTHING) / (counts[k].sum() + langid.SMOOTHING * (1 << langid.BITS))) for k in langs}
+    for r in docs:
+        if not any(c.isalpha() for c in r.text):
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0.0)
+            continue
+        g = np.array(grams[r.doc_id])
+        total = np.array([log_p[k][g].sum() for k in langs])
+        prior = np.log(np.array([rows[k] / len(learned) for k in langs]))
+        best = int(np.argmax(total + prior))
+        odds = total * min(1, langid.EVIDENCE / len(g)) + prior
+        p = np.exp(odds - odds.max())
+        assert got[r.doc_id].lang_pred == langs[best] and got[r.doc_id].held_out == (crc(r.doc_id, 4) == 2)
+        assert got[r.doc_id].score == pytest.approx(p[best] / p.sum(), abs=1e-4)
+
+
+def plain_features(text):
+    """Indicators of a text: buckets of its n-grams, and runs of "this word repeats the one before it"."""
+    words = text.split()
+    same = [int(a == b) for a, b in zip(words, words[1:])]
+    out, base = set(plain_grams(text, quality.ORDERS, quality.BITS)), 1 << quality.BITS
+    for n in quality.MARK_ORDERS:
+        out |= {base + sum(same[i + k] << k for k in range(n)) for i in range(len(same) - n + 1)}
+        base += 1 << n
+    return out
+
+
+def test_quality_query_as_the_plain_version(spark):
+    """Ratios, scaling, dual coordinate descent and the logistic curve, with dictionaries, one row after the other."""
+    from ledgerloom.llm.queries import QUERIES
+    folder = "/root/testdata/sf0.001"
+    got = {r.doc_id: r for r in QUERIES["op7_quality"](spark, folder).collect()}
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    marked = {}
+    for r in spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality").collect():
+        if r.quality is not None and r.doc_id in texts and crc(r.doc_id, 5) != 0:
+            marked.setdefault(r.doc_id, []).append(r.quality)
+    label = {i: int(sum(v) / len(v) >= 0.5) for i, v in marked.items()}
+    ids, features = sorted(label), {i: plain_features(t) for i, t in texts.items()}
+    counts = [{}, {}]
+    for i in ids:
+        for f in features[i]:
+            counts[label[i]][f] = counts[label[i]].get(f, 0) + 1
+    total = [sum(c.values()) + quality.SMOOTHING * quality.SIZE for c in counts]
+    smooth = lambda c, f: (counts[c].get(f, 0) + quality.SMOOTHING) / total[c]
+    ratio = {f: np.log(smooth(1, f) / smooth(0, f)) for f in set().union(*features.values())}
+
+    def row(i):
+        size = np.sqrt(sum(ratio[f] ** 2 for f in features[i])) or 1.0
+        return {f: ratio[f] / size for f in features[i]}
+
+    x, w, bias, alpha = {i: row(i) for i in texts}, {}, 0.0, dict.fromkeys(ids, 0.0)
+    margin = lambda i: sum(w.get(f, 0.0) * v for f, v in x[i].items()) + bias
+    draw = np.random.default_rng(7)
+    for _ in range(quality.ROUNDS):
+        for k in draw.permutation(len(ids)):
+            i = ids[k]
+            y = 2 * label[i] - 1
+            new = alpha[i] - (y * margin(i) - 1) / (sum(v * v for v in x[i].values()) + 1)
+            new = min(max(new, 0.0), quality.COST)
+            for f, v in x[i].items():
+                w[f] = w.get(f, 0.0) + (new - alpha[i]) * y * v
+            bias, alpha[i] = bias + (new - alpha[i]) * y, new
+    n = [sum(1 - v for v in label.values()), sum(label.values())]
+    m, t = np.array([margin(i) for i in ids]), np.array([(n[1] + 1) / (n[1] + 2) if label[i] else 1 / (n[0] + 2) for i in ids])
+
+    def gradient(a, b):
+        p = 1 / (1 + np.exp(-(a * m + b)))
+        return ((p - t) * m).sum(), (p - t).sum()
+
+    score = lambda i, a, b: 1 / (1 + np.exp(-(a * margin(i) + b)))
+    # slope and intercept from two rows of the result, then shown to be the curve's optimum
+    i, j = min(ids, key=margin), max(ids, key=margin)
+    logit = lambda d: np.log(got[d].score / (1 - got[d].score))
+    a = (logit(j) - logit(i)) / (margin(j) - margin(i))
+    b = logit(j) - a * margin(j)
+    assert np.allclose(gradient(a, b), 0, atol=0.02)
+    for d in texts:
+        assert got[d].score == pytest.approx(score(d, a, b), abs=2e-3) and got[d].held_out == (crc(d, 5) == 0)
