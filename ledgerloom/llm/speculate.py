@@ -46,7 +46,7 @@ from .hashtable import HashTable
 #: Words of the byte-level scheme.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Distinct words and runs of words a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 #: Words longer than that are merged each by itself, with a heap.
 HEAP_FROM = 64
 NEVER = 2**31 - 1
