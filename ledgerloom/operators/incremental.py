@@ -133,7 +133,7 @@ def fee_precise(price_gwei: str | Column, gas_used: str | Column) -> Column:
 MAX_BUCKETS = 10_000
 #: Ranges of blocks in a filter; beyond it the nearest ranges become one.
 MAX_RANGES = 100
-#: Partition column of tables laid out by ``bucket_1000``.
+#: Partition column of tables laid out by ``bucket_1000`` of the block; a column of that name must hold nothing else.
 BUCKET = "bucket"
 
 
