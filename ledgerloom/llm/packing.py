@@ -11,9 +11,8 @@ them at any input size, so the unfilled windows at its end are a negligible shar
 Defined results: a null text is empty and consists of the end id; rows that
 repeat are packed each; a document without an id is packed like any other.
 Sequence ids are unique, and the same for the same pieces. A text that spells one of
-the vocabulary's control tokens, such as ``<|endoftext|>``, is text like any other
-(``encode_special_tokens``): the library's default would put the control token
-itself into a window, so that a document could end itself or start another.
+the vocabulary's control tokens, such as ``<|endoftext|>``, has that token's id there,
+as the library does by default; the spelling must be exact, in lower case.
 """
 from __future__ import annotations
 
@@ -38,12 +37,14 @@ _MARKS = b".,!|$%&#*?;:()"
 _ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 #: First bytes of U+0300 to U+037F, which hold every mark that composes with a letter of ASCII.
 _COMPOSING = b"\xcc", b"\xcd"
+#: How the vocabulary's control tokens begin. They are looked for before case is ignored.
+_CONTROL = b"<|"
 
 
 def _folded(text: bytes) -> list[bytes]:
     """Words of a text, in lower case where that leaves the ids as they are."""
-    if _COMPOSING[0] in text or _COMPOSING[1] in text:
-        return [w.lower() if w.isascii() else w for w in text.split()]
+    if _CONTROL in text or _COMPOSING[0] in text or _COMPOSING[1] in text:
+        return [w.lower() if w.isascii() and _CONTROL not in w else w for w in text.split()]
     return text.lower().split()
 
 
@@ -60,7 +61,6 @@ class Words:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self._forget()
 
     def _forget(self) -> None:

@@ -19,7 +19,6 @@ PATH = P.path("word_bpe_49k.json")
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
@@ -53,11 +52,21 @@ def test_composing_marks():
     assert len(composing) > 100 and all(m.encode()[:1] in packing._COMPOSING for m in composing)
 
 
-def test_control_tokens_are_text():
-    flat, _ = packing.words(PATH).encode([b"a <|endoftext|> x<|STARTOFTEXT|>."])
-    assert not {49406, 49407} & {*flat.tolist()}
-    assert flat[:8].tolist() == [320, 27, 347, 40786, 4160, 91, 285, 343]
-    assert 49407 in Tokenizer.from_file(PATH).encode("a <|endoftext|>", add_special_tokens=False).ids  # the library's default
+@pytest.mark.parametrize("text", ["a <|endoftext|> x<|STARTOFTEXT|>.", "<|endoftext|>", "The<|startoftext|>END.!,", "<|EndOfText|> A",
+                                  "<|endoftext|", "A<|endoftext|>\u0338 T\u0308<|endoftext|><|endoftext|>.", "<| B |>, <|b", "\u00c9<|endoftext|>\u00c9"])
+def test_control_tokens(library, text):
+    same(library, text)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "A", "b.", " ", "\u0308", "\u0338", "\u00c9", "\n"]), max_size=12).map("".join))
+def test_any_control_tokens(library, text):
+    same(library, text)
+
+
+def test_a_control_token_is_one_id():
+    flat, _ = packing.words(PATH).encode([b"a <|endoftext|> b"])
+    assert flat.tolist()[1] == 49407
 
 
 def plain_best_fit(lengths, capacity):
