@@ -98,7 +98,9 @@ def gram_codes(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
 def _lgamma(x: np.ndarray) -> np.ndarray:
     """log Gamma for x >= 1/2: Stirling's series at x + 8."""
     y = x + 8
-    low = np.prod([x + k for k in range(8)], axis=0)
+    low = x.copy()
+    for k in range(1, 8):  # in place: a shard's nodes are millions
+        low *= x + k
     series = (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
     return series - np.log(low)
 
@@ -127,7 +129,10 @@ class Level:
 
     def __init__(self, keys, zeros, ones, below=None):
         self.keys, self.zeros, self.ones = keys, zeros, ones
-        self.own = log_kt(zeros, ones)
+        self.own = np.empty(len(keys))
+        for at in range(0, len(keys), STEP // 4):  # its many temporary arrays only for a part at a time
+            part = slice(at, at + STEP // 4)
+            self.own[part] = log_kt(zeros[part], ones[part])
         self.weighted = self.own if below is None else np.logaddexp(_HALF + self.own, _HALF + below)
         # the share of the mixture that stops at this depth
         self.stop = np.ones(len(keys)) if below is None else np.exp(np.minimum(0.0, _HALF + self.own - self.weighted))
@@ -137,6 +142,10 @@ class Level:
         """(key, zeros, ones, sum of weighted) of the contexts one byte shorter."""
         return _summed(self.keys >> 16 << 8 | self.keys & 255, self.zeros, self.ones, self.weighted)
 
+    def forget(self) -> None:
+        """Leave only what ``mix`` needs; a shorter level was summed from the rest."""
+        del self.zeros, self.ones, self.own, self.weighted
+
     def mix(self, done: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Adds this depth's share to what shorter contexts gave: probability of a one so far, and the share still open."""
         return done + left * self.stop * self.one, left * (1 - self.stop)
@@ -150,6 +159,7 @@ def levels(codes: np.ndarray, n: np.ndarray, depth: int, least: int = 2) -> list
     out = [Level(*_summed(nodes, many * (1 - bit), many * bit))]
     for _ in range(depth - least):
         keys, zeros, ones, below = out[0].shorter()
+        out[0].forget()
         out.insert(0, Level(keys, zeros, ones, below))
     return out
 
@@ -345,7 +355,10 @@ def _score(depth: int, train_tokens: int, distinct: int):
                     counts.update(zip(part.column(3).to_pylist(), part.column(4).to_pylist()))
                     continue
                 if table is None:
-                    table = HashTable(np.concatenate(grams), np.concatenate(logp), np.nan)
+                    codes, values = np.concatenate(grams), np.concatenate(logp)
+                    grams, logp = [], []  # held twice otherwise, and beside the table while documents are scored
+                    table = HashTable(codes, values, np.nan)
+                    del codes, values
                 for frame in part.column(5).to_pylist():
                     own = _rows(frame)
                     texts = own.column("text").to_pylist()

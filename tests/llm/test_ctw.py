@@ -180,3 +180,16 @@ def test_long_texts_in_parts(step):
             own[i] += part.tolist()
     assert [c for x in own for c in x] == whole.tolist()
     assert whole[:2].tolist() == [0, 97]
+
+
+def test_scoring_a_shard_holds_few_arrays():
+    import tracemalloc
+    r = np.random.default_rng(1)
+    codes = np.unique(r.integers(0, 1 << 48, 20_000))
+    tracemalloc.start()
+    try:
+        ctw.score_grams(codes, r.integers(0, 4, len(codes)), 5, np.full(1 << 16, 0.3), np.full(1 << 16, 0.4))
+        held = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert held < 32 * 8 * 8 * len(codes)  # arrays of one number a decision; it was 42
