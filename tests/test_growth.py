@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import groups
 from ledgerloom.plans.nft import seaport as Z
-from ledgerloom.session import measured_broadcasts
+from ledgerloom.session import bounded_tasks, measured_broadcasts
 from showcase import REGISTRY, chain
 
 FOLDER = "/root/testdata/sf0.001"
@@ -40,6 +40,26 @@ def test_kept_rows_are_a_compressed_table(spark, tmp_path, monkeypatch):
     assert 0 < held < 20_000 * 1_000 / 10
 
 
+def test_a_task_sorts_a_bounded_part_of_a_shuffle(spark):
+    """Shuffles start from more partitions than a session names, and few bytes of them are merged; its own choice stays."""
+    start, size = (f"spark.sql.adaptive.{k}" for k in ("coalescePartitions.initialPartitionNum", "advisoryPartitionSizeInBytes"))
+    before, parallel = {k: spark.conf.getAll.get(k) for k in (start, size)}, "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    rows = spark.range(200_000).select(F.xxhash64("id").alias("id"), F.sha2(F.col("id").cast("string"), 512).alias("text"))  # 20 MB shuffled
+    tasks = lambda: rows.groupBy("id").agg(F.max("text")).rdd.getNumPartitions()
+    try:
+        spark.conf.unset(start), spark.conf.unset(size)
+        spark.conf.set(parallel, "100KB")
+        REGISTRY["expected_blocks"][0](spark, FOLDER)
+        assert spark.conf.get(start) == "400" and spark.conf.get(size) == "16MB"
+        spark.conf.set(size, "1MB")
+        bounded_tasks(spark)
+        assert spark.conf.get(size) == "1MB" and tasks() > 10  # 4 by the session's shuffle partitions
+    finally:
+        spark.conf.unset(parallel)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_tasks_follow_the_size_of_the_files(spark, monkeypatch):
     orders = spark.read.parquet(f"{FOLDER}/orders.parquet")
     monkeypatch.setattr(chain, "SPREAD_BYTES", groups.estimated_bytes(orders) // 50)
