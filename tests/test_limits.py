@@ -2,12 +2,13 @@
 import datetime as dt
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import functions as L
-from ledgerloom.operators import incremental as inc, windows as W
+from ledgerloom.operators import groups, incremental as inc, windows as W
 from ledgerloom.operators.aggregates import high_water, object_agg, tree_success
 from ledgerloom.operators.groups import with_chunks
 from ledgerloom.operators.quality import sequence_gaps
@@ -307,3 +308,21 @@ def test_newest_documents_stay_where_they_are(spark, tmp_path):
     below = lambda df: df._jdf.queryExecution().optimizedPlan().toString().split("Window")[-1].split("\n")[1]
     assert shuffles(out) and "DATA" not in below(out) and "DATA" in below(plain)
     assert S.silver_blocks(src.withColumn("DATA", F.lit('{"result":{"number":"0x1"}}')), None, inc.Run(t[0])).count() == 4
+
+
+def test_kept_rows_leave_no_shuffle_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(groups, "_checkpoint_folder", lambda _: str(tmp_path))
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def left():
+        blocks = disk.getAllBlocks()
+        return sum(blocks.apply(i).isShuffle() for i in range(blocks.length()))
+    before, flag = left(), spark.conf.get(groups._CLEANUP, None)
+    d = groups.keep(spark.range(20_000).groupBy((F.col("id") % 5_000).alias("k")).count())
+    for _ in range(100):  # files are removed in the background
+        if left() <= before:
+            break
+        time.sleep(0.1)
+    assert left() <= before and spark.conf.get(groups._CLEANUP, None) == flag
+    assert d.count() == 5_000 and d.filter("count <> 4").count() == 0
+
