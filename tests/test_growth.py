@@ -87,3 +87,24 @@ def test_matched_pairs_parse_orders_once(spark):
                       ("total_sale_amount_raw", "platform_fee_raw", "creator_fee_raw")]).collect()
     assert [tuple(r) for r in rows] == [("0x2", "s", "b", "7", 100.0, 4.0, 6.0)] * 2
     assert plan(out).count("Scan ExistingRDD") == 2  # the orders and the pairs, each read once
+
+
+def test_matched_orders_are_dealt_once(spark):
+    """However many partitions a session's shuffles start from, orders and facts are each dealt once by transaction, and merged."""
+    start = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.getAll.get(start)
+    orders = spark.range(1_000).select(F.col("id").cast("string").alias("tx_hash"), F.lit(1).cast("bigint").alias("event_index"),
+                                       F.lit("0x1").alias("orderhash"), F.lit("0x2").alias("other"))
+    of = lambda *hashes: orders.groupBy("tx_hash").agg(*hashes)
+    listed = F.collect_set("orderhash").alias("matched")
+    facts = of(F.array(F.lit(2).cast("bigint")).alias("matches"), listed,
+               F.collect_list(F.struct("event_index", "orderhash")).alias("filled"))
+    pairs = of(F.collect_list(F.struct(F.lit("p").alias("pair"), F.col("orderhash").alias("orderhash_1"),
+                                       F.col("other").alias("orderhash_2"))).alias("pairs"))
+    try:
+        spark.conf.set(start, "50")
+        for out in (Z.in_groups(orders, facts), Z.in_pairs(orders, pairs)):
+            assert plan(out).count("Exchange hashpartitioning(tx_hash") == 2 and "REPARTITION_BY_NUM" not in plan(out)
+            assert out.count() == 1_000 and out.rdd.getNumPartitions() < 50
+    finally:
+        spark.conf.unset(start) if before is None else spark.conf.set(start, before)
