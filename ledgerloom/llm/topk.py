@@ -10,9 +10,10 @@ list and only those are carried on. The threshold is the k-th best score seen so
 far, and starts as the k-th best among about ``SAMPLE`` ids drawn by hash, a row of each: any
 subset's k-th best is a sound bound, so the sample changes speed only.
 
-The queries are handled in blocks of about ``QUERY_BLOCK``, each broadcast (its size
-does not depend on the input), against all rows. A task sends k rows for a query
-at most.
+The queries are handled in blocks of about ``QUERY_BLOCK``, fewer where vectors are long
+(``QUERY_VALUES`` components), each broadcast (its size does not depend on the input),
+against all rows. The driver holds the sample and one block; thresholds are found in
+tasks, ``GROUP`` queries at a time. A task sends k rows for a query at most.
 
 Components are floor(64 x) in double precision. Scores are exact: sums that might
 pass 2^53 are done in integers of any size; a score beyond 64 bits is an error.
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from .common import written
 
@@ -36,6 +37,8 @@ SCALE = 64
 K = 20
 EVERY = 20
 QUERY_BLOCK = 50_000
+#: Components of a block's queries at most, as the driver holds a block several times over in double precision.
+QUERY_VALUES = QUERY_BLOCK * 64
 SAMPLE = 4_096
 CHUNK = 8_192
 GROUP = 256
@@ -138,6 +141,23 @@ class Search:
         return q[top], ids[top], score[top]
 
 
+def _start(shipped):
+    """Queries with the thresholds they start from: their k-th best among the sample."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, vectors, k = shipped.value
+        for b in batches:
+            for at in range(0, b.num_rows, GROUP):
+                part = b.slice(at, GROUP)
+                _, own = components(part.column(1))
+                search = Search(part.column(0).to_numpy(), own, k)
+                kept = (np.zeros(0, np.int64),) * 3
+                for n in range(0, len(ids), 1024):
+                    q, c, s = search.pairs(ids[n:n + 1024], vectors[n:n + 1024])
+                    kept = search.best(*(np.concatenate(x) for x in zip(kept, (q, ids[n:n + 1024][c], s))))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(search.floor)], ["id", "v", "floor"])
+    return run
+
+
 def _scan(shipped):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search: Search = shipped.value
@@ -178,36 +198,47 @@ def _sound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.take(pa.array(places))
 
 
+def _drawn(own: DataFrame, sample: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and scaled vectors of about ``sample`` ids drawn by hash, one row of each."""
+    share = min(1.0, sample / max(1, own.count()))
+    drawn = own.filter(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30)))
+    drawn = drawn.dropDuplicates(["id"]).toArrow()  # an id that repeats comes once, however many rows it has
+    if not drawn.num_rows:
+        return np.zeros(0, np.int64), np.zeros((0, 0))
+    places, seen = components(drawn.column("v").combine_chunks())
+    return drawn.column("id").to_numpy()[places], seen
+
+
+def _block(queries: DataFrame, k: int) -> Search | None:
+    part = queries.toArrow()
+    if not part.num_rows:
+        return None
+    _, vectors = components(part.column("v").combine_chunks())
+    search = Search(part.column("id").to_numpy(), vectors, k)
+    search.floor = part.column("floor").to_numpy().copy()
+    return search
+
+
 def top_k(rows: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec_id", vector_col: str = "embedding",
           query_block: int = QUERY_BLOCK, sample: int = SAMPLE) -> DataFrame:
     """The k best of all rows for each row whose id is divisible by ``every``: query_id, rank, vec_id, score."""
     spark = rows.sparkSession
     own = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).filter("id is not null and v is not null")
-    queries = written(own.filter(F.col("id") % every == 0).mapInArrow(_sound, own.schema).groupBy("id").agg(F.min("v").alias("v")))
-    n, total = queries.count(), own.count()
-    share = min(1.0, sample / max(1, total))
-    drawn = own.filter(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30)))
-    drawn = drawn.dropDuplicates(["id"]).toArrow()  # an id that repeats comes once, however many rows it has
-    places, seen = components(drawn.column("v").combine_chunks()) if drawn.num_rows else (np.zeros(0, np.int64), np.zeros((0, 0)))
-    seen_ids = drawn.column("id").to_numpy()[places] if drawn.num_rows else np.zeros(0, np.int64)
-    blocks, out = max(1, -(-n // query_block)), None
+    sound = own.filter(F.col("id") % every == 0).mapInArrow(_sound, own.schema).groupBy("id").agg(F.min("v").alias("v"))
+    shipped = spark.sparkContext.broadcast((*_drawn(own, sample), k))
+    queries = written(sound.mapInArrow(_start(shipped), T.StructType([*sound.schema, T.StructField("floor", T.DoubleType())])))
+    shipped.destroy()
+    n, width = queries.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    blocks, out = max(1, -(-n // query_block), -(-n * (width or 0) // QUERY_VALUES)), None
     for block in range(blocks):
-        part = queries.filter(F.pmod(F.xxhash64("id", F.lit("block")), F.lit(blocks)) == block).toArrow()
-        if not part.num_rows:
+        search = _block(queries.filter(F.pmod(F.xxhash64("id", F.lit("block")), F.lit(blocks)) == block), k)
+        if search is None:
             continue
-        _, vectors = components(part.column("v").combine_chunks())
-        search = Search(part.column("id").to_numpy(), vectors, k)
-        if len(seen):
-            for at in range(0, len(seen), 1024):
-                q, c, s = search.pairs(seen_ids[at:at + 1024], seen[at:at + 1024])
-                kept = (q, seen_ids[at:at + 1024][c], s) if not at else tuple(
-                    np.concatenate(x) for x in zip(kept, (q, seen_ids[at:at + 1024][c], s)))
-                kept = search.best(*kept)
-        shipped = spark.sparkContext.broadcast(search)
+        shipped, search = spark.sparkContext.broadcast(search), None
         found = own.mapInArrow(_scan(shipped), "query_id long, vec_id long, score long")
         if blocks > 1:
             found = written(found)
-            shipped.unpersist()
+            shipped.destroy()  # in the driver too
         out = found if out is None else out.unionByName(found)
     if out is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")

@@ -54,6 +54,20 @@ def test_sample_of_repeated_ids(spark, monkeypatch):
     assert max(t.num_rows for t in brought) == 50
 
 
+def test_driver_holds_no_pairs(spark, monkeypatch):
+    """Starting thresholds are found in tasks, and a block of long vectors holds fewer queries."""
+    prepare(spark)
+    draw = np.random.default_rng(6)
+    rows = [(i, draw.normal(size=30).tolist()) for i in range(400)]
+    brought, kind = [], type(spark.range(0))
+    bring = kind.toArrow
+    monkeypatch.setattr(kind, "toArrow", lambda self: brought.append(bring(self)) or brought[-1])
+    monkeypatch.setattr(topk, "QUERY_VALUES", 5 * 30)
+    monkeypatch.setattr(topk.Search, "pairs", None)  # here only: tasks import the module anew
+    assert run(spark, rows, sample=100) == plain(rows)
+    assert len(brought) > 3 and max(t.num_rows for t in brought[1:]) < 20
+
+
 def test_pruned_as_full():
     draw = np.random.default_rng(8)
     x = np.floor(64 * draw.normal(size=(3000, 64)) * np.linspace(3, 0.05, 64))
