@@ -4,6 +4,7 @@ import os
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import groups
+from ledgerloom.operators.tree import flatten_tree
 from ledgerloom.plans.nft import seaport as Z
 from ledgerloom.session import bounded_tasks, measured_broadcasts
 from showcase import REGISTRY, chain
@@ -108,3 +109,20 @@ def test_matched_orders_are_dealt_once(spark):
             assert out.count() == 1_000 and out.rdd.getNumPartitions() < 50
     finally:
         spark.conf.unset(start) if before is None else spark.conf.set(start, before)
+
+
+def test_deep_trees_use_every_core(spark, monkeypatch):
+    """A table of few bytes holds many payloads: it is dealt before they are built, and read by no filter before that."""
+    out = REGISTRY["fn_flatten_recursive"][0](spark, FOLDER)
+    assert out.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert plan(out).index("ArrowEvalPython") < plan(out).index("REPARTITION_BY_NUM")  # plans are printed from the last step on
+    suppliers = spark.read.parquet(f"{FOLDER}/supplier.parquet").select("s_suppkey")
+    monkeypatch.setattr(chain, "SPREAD_BYTES", groups.estimated_bytes(suppliers))
+    assert chain.spread(suppliers, "s_suppkey", groups.estimated_bytes(suppliers) // 50).rdd.getNumPartitions() >= 50
+
+
+def test_parents_of_long_paths(spark):
+    leaf = lambda n: '{"calls":[' + ",".join(["{}"] * n) + "]}"
+    rows = spark.createDataFrame([(1, '{"calls":[' + ",".join([leaf(0)] * 11 + [leaf(12)]) + "]}")], "id int, doc string")
+    out = {r["trace_address"]: r["parent_trace_address"] for r in flatten_tree(rows, "doc", "id").collect()}
+    assert out == {"ORIGIN": None, **{str(i): "ORIGIN" for i in range(12)}, **{f"11_{i}": "11" for i in range(12)}}
