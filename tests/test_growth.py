@@ -126,3 +126,10 @@ def test_parents_of_long_paths(spark):
     rows = spark.createDataFrame([(1, '{"calls":[' + ",".join([leaf(0)] * 11 + [leaf(12)]) + "]}")], "id int, doc string")
     out = {r["trace_address"]: r["parent_trace_address"] for r in flatten_tree(rows, "doc", "id").collect()}
     assert out == {"ORIGIN": None, **{str(i): "ORIGIN" for i in range(12)}, **{f"11_{i}": "11" for i in range(12)}}
+
+
+def test_what_a_step_shuffles_goes_before_the_next(spark, tmp_path, monkeypatch):
+    """Markets and both sides of the call trees are kept tables, so their shuffles do not add up with the last step's."""
+    monkeypatch.setattr(groups, "_checkpoint_folder", lambda spark: str(tmp_path))
+    for name, raw in (("sales_complete_markets", "decoded_log"), ("gold_traces", "TX_HASH")):
+        assert raw not in plan(REGISTRY[name][0](spark, FOLDER))
